@@ -14,6 +14,14 @@ def _exprs(expressions: dict[str, str]) -> str:
     return ",\n  ".join(f"{text} AS {name}" for name, text in expressions.items())
 
 
+def _round(value: str, digits: int) -> str:
+    """Half-up rounding of a double as it prints, which is how Spark rounds doubles.
+
+    DuckDB's own ``round`` scales the double first, so 30.049999999999997 becomes 30.1, not 30.0.
+    """
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
+
+
 def _labels(column: str, rules: list[tuple[str, str]], default: str) -> str:
     cases = " ".join(f"WHEN regexp_matches({column}, '{p}') THEN '{v}'" for p, v in rules)
     return f"CASE {cases} ELSE '{default}' END"
@@ -49,20 +57,25 @@ SPEED = """CASE WHEN reporting_lag_days = 0 THEN 'Same Day' WHEN reporting_lag_d
  WHEN reporting_lag_days <= 7 THEN 'Within Week' WHEN reporting_lag_days <= 30 THEN 'Within Month'
  WHEN reporting_lag_days > 30 THEN 'Delayed' ELSE 'Unknown' END"""
 
+SCORE = """(crime_density_percentile / 100 * CAST(0.4 AS DOUBLE)
+ + (100 - resolution_rate) / 100 * CAST(0.3 AS DOUBLE)
+ + CAST(CASE crime_trend WHEN 'Increasing' THEN 0.3 WHEN 'Decreasing' THEN 0.1 ELSE 0.2 END AS DOUBLE)
+ ) * 100"""
+
 METRICS = INCIDENTS + f""",
 areas AS (
   SELECT *, {_steps("crime_density_percentile", R.CRIME_DENSITY_BOUNDS, R.CRIME_DENSITY_LABELS, "<")}
     AS crime_density_category
   FROM (SELECT area_id, min(area_name) AS area_name, count(*) AS total_cases,
           count(*) FILTER (status_resolution = 'Closed') AS resolved_cases,
-          round(count(*) FILTER (status_resolution = 'Closed') / count(*) * 100, 2) AS resolution_rate,
+          {_round("count(*) FILTER (status_resolution = 'Closed') / count(*) * 100", 2)} AS resolution_rate,
           percent_rank() OVER (ORDER BY count(*)) * 100 AS crime_density_percentile
         FROM incidents GROUP BY area_id)),
 tiers AS (
   SELECT *, {_steps("resolution_rate", R.TIER_BOUNDS, R.TIER_LABELS, "<")} AS area_performance_tier
   FROM areas),
 years AS (
-  SELECT *, round((yearly_crime_count - prev_year_count) / prev_year_count * 100, 2)
+  SELECT *, {_round("(yearly_crime_count - prev_year_count) / prev_year_count * 100", 2)}
     AS yoy_crime_change_pct
   FROM (SELECT area_id, min(area_name) AS area_name, occurrence_year, count(*) AS yearly_crime_count,
           lag(count(*)) OVER (PARTITION BY area_id ORDER BY occurrence_year) AS prev_year_count
@@ -75,10 +88,7 @@ trends AS (
 scores AS (
   SELECT trends.*, resolution_rate, area_performance_tier, crime_density_percentile,
     crime_density_category,
-    round((crime_density_percentile / 100 * CAST(0.4 AS DOUBLE)
-      + (100 - resolution_rate) / 100 * CAST(0.3 AS DOUBLE)
-      + CAST(CASE crime_trend WHEN 'Increasing' THEN 0.3 WHEN 'Decreasing' THEN 0.1 ELSE 0.2 END
-             AS DOUBLE)) * 100, 1) AS area_risk_score
+    {_round(SCORE, 1)} AS area_risk_score
   FROM trends JOIN tiers USING (area_id)),
 risks AS (
   SELECT *, {_steps("area_risk_score", R.RISK_BOUNDS, R.RISK_LABELS, "<")} AS area_risk_level
@@ -113,16 +123,16 @@ quality AS (
              + has_premise_info::INT) / 4 AS data_completeness_score
   FROM flags)"""
 
-LOCATED = INCIDENTS + """,
+KM = """sqrt(pow((lat - CAST(34.0522 AS DOUBLE)) * 111, 2)
+ + pow((lon - CAST(-118.2437 AS DOUBLE)) * 111 * CAST(0.8 AS DOUBLE), 2))"""
+
+LOCATED = INCIDENTS + f""",
 valid AS (
   SELECT *, coalesce(lat <> 0 AND lon <> 0 AND lat BETWEEN CAST(33.7 AS DOUBLE) AND CAST(34.4 AS DOUBLE)
     AND lon BETWEEN CAST(-118.9 AS DOUBLE) AND CAST(-117.6 AS DOUBLE), false) AS has_valid_coordinates
   FROM incidents),
 located AS (
-  SELECT *, CASE WHEN has_valid_coordinates THEN round(sqrt(
-      pow((lat - CAST(34.0522 AS DOUBLE)) * 111, 2)
-      + pow((lon - CAST(-118.2437 AS DOUBLE)) * 111 * CAST(0.8 AS DOUBLE), 2)), 2) END
-      AS distance_from_center_km
+  SELECT *, CASE WHEN has_valid_coordinates THEN {_round(KM, 2)} END AS distance_from_center_km
   FROM valid),
 zoned AS (
   SELECT *, CASE WHEN distance_from_center_km <= 8 THEN 'Downtown Core'
@@ -218,7 +228,7 @@ def _counts(source: str, *keys: str) -> str:
 
 
 def _shares(column: str, default: str) -> str:
-    return f"""SELECT *, round(count / sum(count) OVER () * 100, 1) AS pct
+    return f"""SELECT *, {_round("count / sum(count) OVER () * 100", 1)} AS pct
   FROM (SELECT coalesce({column}, {default}) AS {column}, count(*) AS count FROM calls GROUP BY 1)"""
 
 
@@ -245,11 +255,12 @@ _SQL = {
         reporting_lag_days, {SPEED} AS reporting_speed, yearly_crime_count, yoy_crime_change_pct,
         crime_trend, area_risk_score, area_risk_level
         FROM incidents LEFT JOIN risks USING (area_id, occurrence_year)"""),
-    "reporting_lag": (INCIDENTS, """SELECT area_name, round(avg(reporting_lag_days), 1) AS avg_lag_days,
-        round(count(*) FILTER (reporting_lag_days > 30) / count(*) * 100, 1) AS pct_delayed,
+    "reporting_lag": (INCIDENTS, f"""SELECT area_name,
+        {_round("avg(reporting_lag_days)", 1)} AS avg_lag_days,
+        {_round("count(*) FILTER (reporting_lag_days > 30) / count(*) * 100", 1)} AS pct_delayed,
         count(*) AS total_records
         FROM incidents WHERE reporting_lag_days BETWEEN 0 AND 365 GROUP BY area_name"""),
-    "reporting_speed_share": (INCIDENTS, f"""SELECT *, round(count / sum(count) OVER () * 100, 1) AS pct
+    "reporting_speed_share": (INCIDENTS, f"""SELECT *, {_round("count / sum(count) OVER () * 100", 1)} AS pct
         FROM (SELECT {SPEED} AS reporting_speed, count(*) AS count FROM incidents GROUP BY 1)"""),
     "status_resolution": (INCIDENTS, _counts("incidents", "status", "status_resolution")),
     "raw_csv_cleaned": (INCIDENTS, """SELECT id, area_id, area_name,

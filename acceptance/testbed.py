@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlens.functions.rules import RAW_DATE_FORMAT, RAW_TO_CLEAN
-from wardlens.plans.batch import build_metrics, build_silver
+from wardlens.operators.incidents import with_case_columns
+from wardlens.plans.batch import build_metrics
 from wardlens.session import scratch_dir
-from wardlens.sinks import write_gold
+from wardlens.sinks import write_gold, write_silver
 from wardlens.sources import Lake, load_area_stats, read_metrics, read_silver
 
 # Orders with the area and date of their incidents, step by step.
@@ -171,7 +172,7 @@ def _once(lake: Lake, step: str) -> bool:
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = lake_of(spark, sf_dir)
     if _once(lake, "silver"):
-        build_silver(spark, lake, raw_incidents(spark, sf_dir))
+        write_silver(with_case_columns(incident_rows(spark, sf_dir)), lake)
     return read_silver(spark, lake)
 
 

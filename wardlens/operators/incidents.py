@@ -26,17 +26,26 @@ def status_resolution(status: Column) -> Column:
             .otherwise(F.lit(R.UNKNOWN)))
 
 
-def clean_incidents(raw: DataFrame) -> DataFrame:
-    """Renamed columns, parsed dates (null if unreadable), their years and the case status."""
-    dates = {name: F.try_to_date(F.col(name), R.RAW_DATE_FORMAT)
-             for name in ("date_reported", "date_occured")}
-    return rename_raw(raw).withColumns(dates).withColumns({
+def parse_dates(incidents: DataFrame) -> DataFrame:
+    """Both dates from raw text; unreadable text becomes null."""
+    return incidents.withColumns({name: F.try_to_date(F.col(name), R.RAW_DATE_FORMAT)
+                                  for name in ("date_reported", "date_occured")})
+
+
+def with_case_columns(incidents: DataFrame) -> DataFrame:
+    """Years of both dates and the case status."""
+    return incidents.withColumns({
         "occurrence_year": F.year("date_occured"),
         "report_year": F.year("date_reported"),
         "status_resolution": status_resolution(F.col("status")),
     })
 
 
+def clean_incidents(raw: DataFrame) -> DataFrame:
+    """Raw rows with clean names, parsed dates, their years and the case status."""
+    return with_case_columns(parse_dates(rename_raw(raw)))
+
+
 # ---- categories ---------------------------------------------------------------------------
 
 _CATEGORIES = [label for _, label in R.CATEGORY_RULES] + [R.CATEGORY_DEFAULT]

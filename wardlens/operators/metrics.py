@@ -139,11 +139,10 @@ def area_year_metrics(counts: DataFrame) -> DataFrame:
             .withColumn("area_risk_level", risk_level(F.col("area_risk_score"))))
 
 
-def yoy_stats(counts: DataFrame) -> DataFrame:
-    """Published year-over-year table."""
-    return area_year_metrics(counts).select(
-        "area_id", "area_name", "occurrence_year", *_YEAR_COLUMNS,
-        "area_risk_score", "area_risk_level")
+def yoy_stats(area_years: DataFrame) -> DataFrame:
+    """Published year-over-year table, from ``area_year_metrics``."""
+    return area_years.select("area_id", "area_name", "occurrence_year", *_YEAR_COLUMNS,
+                             "area_risk_score", "area_risk_level")
 
 
 def with_reporting(incidents: DataFrame) -> DataFrame:
@@ -155,20 +154,29 @@ def with_reporting(incidents: DataFrame) -> DataFrame:
             .withColumn("reporting_speed", F.when(lag == 0, F.lit(R.SAME_DAY)).otherwise(speed)))
 
 
-def enrich_incidents(incidents: DataFrame, counts: DataFrame) -> DataFrame:
+def enrich_incidents(incidents: DataFrame, area_years: DataFrame) -> DataFrame:
     """Incidents with reporting, area, year and risk columns, in one lookup join."""
-    lookup = area_year_metrics(counts).drop("area_name")
-    joined = attach(with_reporting(incidents), lookup,
+    joined = attach(with_reporting(incidents), area_years.drop("area_name"),
                     {"area_id": F.col("area_id"), "occurrence_year": F.col("occurrence_year")},
                     spread_by="id", null_safe=("occurrence_year",))
     return joined.withColumn("area_risk_level",
                              F.coalesce("area_risk_level", F.lit(R.RISK_LABELS[0])))
 
 
+def metric_tables(incidents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``area_year_metrics``, ``area_summary``) from one pass over the incidents.
+
+    The counts and the year metrics are written to the shared folder, because several results are
+    derived from each.
+    """
+    counts = materialize(area_year_counts(incidents), "area_year_counts")
+    return materialize(area_year_metrics(counts), "area_year_metrics"), area_summary(counts)
+
+
 def business_metrics(incidents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(enriched incidents, yoy_stats, area_summary)."""
-    counts = materialize(area_year_counts(incidents), "area_year_counts")
-    return enrich_incidents(incidents, counts), yoy_stats(counts), area_summary(counts)
+    area_years, summary = metric_tables(incidents)
+    return enrich_incidents(incidents, area_years), yoy_stats(area_years), summary
 
 
 def incidents_by_year(incidents: DataFrame) -> DataFrame:

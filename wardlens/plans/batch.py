@@ -10,19 +10,20 @@ from wardlens.sinks import write_gold, write_metrics, write_silver
 from wardlens.sources import Lake, land_raw, read_metrics, read_raw, read_silver
 
 
-def build_silver(spark: SparkSession, lake: Lake, raw: DataFrame | None = None) -> DataFrame:
-    """Clean bronze (or the given raw frame) into silver."""
-    write_silver(I.clean_incidents(read_raw(spark, lake.bronze) if raw is None else raw), lake)
+def build_silver(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Clean bronze into silver."""
+    write_silver(I.clean_incidents(read_raw(spark, lake.bronze)), lake)
     return read_silver(spark, lake)
 
 
 def build_metrics(spark: SparkSession, lake: Lake, enriched: bool = True) -> None:
-    """Write the metrics tables; the enriched incidents only if asked for."""
-    facts, yoy, summary = M.business_metrics(read_silver(spark, lake))
-    write_metrics(yoy, lake, "yoy_stats")
+    """Write the metrics tables; the fact-sized enriched table can be left out."""
+    silver = read_silver(spark, lake)
+    area_years, summary = M.metric_tables(silver)
+    write_metrics(M.yoy_stats(area_years), lake, "yoy_stats")
     write_metrics(summary, lake, "area_summary")
     if enriched:
-        write_metrics(facts, lake, "enriched")
+        write_metrics(M.enrich_incidents(silver, area_years), lake, "enriched")
 
 
 def publish_metrics(spark: SparkSession, lake: Lake, **gold: str) -> None:
