@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from wardlens.operators import calls as C
 from wardlens.operators import incidents as I
 from wardlens.operators import metrics as M
 from wardlens.operators import monitors as N
-from wardlens.session import scratch_dir
+from wardlens.session import limit_generated_methods, scratch_dir
 from wardlens.sinks import latest_view, write_daily_csv
 from wardlens.sources import Lake, decode_text, land_raw, parse_calls, read_raw
 from wardlens.streaming import start_streams, upsert_sink, with_event_time
@@ -31,8 +32,13 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        limit_generated_methods(spark)
+        return function(spark, sf_dir)
+
+    _QUERIES[function.__name__] = run
+    return run
 
 
 def counted(df: DataFrame, *keys: str | Column) -> DataFrame:

@@ -1,12 +1,13 @@
 """Row-level operators on hand-made rows: one per rule, plus nulls, bounds and shadowed rules."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlens.functions import bucketize, classify
+from wardlens.functions import bucketize, classify, contains_any, fold_case
 from wardlens.functions import rules as R
 from wardlens.operators import incidents as I
 
@@ -183,7 +184,8 @@ def test_area_density_ignores_null_area(spark):
     (1, "2020-02-29 00:01:00", 0, "Night"), (600, "2020-02-29 06:00:00", 6, "Morning"),
     (1200, "2020-02-29 12:00:00", 12, "Afternoon"), (1800, "2020-02-29 18:00:00", 18, "Evening"),
     (2200, "2020-02-29 22:00:00", 22, "Night"), (2359, "2020-02-29 23:59:00", 23, "Night"),
-    (2400, None, None, "Night"), (None, None, None, "Night"),
+    (2400, None, None, "Night"), (None, None, None, "Night"), (1260, None, None, "Night"),
+    (-5, None, None, "Night"), (12345, "2020-02-29 12:34:00", 12, "Afternoon"),
 ])
 def test_time_of_day(spark, time, stamp, hour, part):
     df = spark.createDataFrame([(dt.date(2020, 2, 29), time)], "date_occured date, time_occured int")
@@ -226,3 +228,25 @@ def test_classify_null_default(spark):
     df = column(spark, [None, "b"], "x", T.StringType())
     assert [r[0] for r in df.select(classify(F.col("x"), [("a", "A")], "other")).collect()] == [
         "other", "other"]
+
+
+PIECES = ["gun", "Gun", "kil", "KILL", "\u212aill", "murder", "MURDER", "HOM\u0130CIDE", "homicide", " ",
+          "vehicle", "Theft", "the", "ft", "\u017fteal", "car", "auto", "ABDUCT", "dr\u00fcg", "drug", "\n", "."]
+
+
+def test_word_search_equals_regex(spark):
+    """Substring search on folded text against the regex, on random and on non-ASCII text."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(0, 4))) for _ in range(3000)] + [None]
+    df = column(spark, texts, "x", T.StringType()).withColumn("f", fold_case(F.col("x")))
+    x, f = F.col("x"), F.col("f")
+    for rules in (R.CATEGORY_RULES, R.WEAPON_RULES, R.SEVERITY_RULES):
+        fast, slow = classify(x, rules, "-", "none", folded=f), classify(x, rules, "-", "none")
+        assert df.filter(~fast.eqNullSafe(slow)).count() == 0
+        assert df.select(slow).distinct().count() >= 3
+    for pattern in (R.DOMESTIC_PATTERN, R.DWELLING_PATTERN, R.CLOSED_STATUS_PATTERN, "(?i)homicide",
+                    "(?i)car.*theft", "kill|MURDER", "(?i)(kill)|"):
+        fast, slow = contains_any(x, pattern, f), x.rlike(pattern)
+        assert df.filter(~fast.eqNullSafe(slow)).count() == 0, pattern
+    plan = df.select(classify(x, R.CATEGORY_RULES, "-", folded=f))._jdf.queryExecution().toString()
+    assert "motorcycle).*theft" in plan and "homicide|" not in plan

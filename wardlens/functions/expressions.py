@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,12 +13,39 @@ from pyspark.sql import functions as F
 from wardlens.functions.rules import CITY_CENTER, KM_PER_DEGREE, LONGITUDE_FACTOR
 
 
+# Characters outside ASCII whose lower case contains an ASCII letter: Kelvin sign, dotted capital I.
+_FOLDS_TO_ASCII = "\u212a\u0130"
+_WORD_PATTERN = re.compile(r"\(\?i\)(\()?([A-Za-z ]+(?:\|[A-Za-z ]+)*)(?(1)\))")
+
+
+def fold_case(col: Column) -> Column:
+    """Lower-case text for ``contains_any``. ``(?i)`` only folds ASCII letters, and so does this."""
+    for character in _FOLDS_TO_ASCII:
+        col = F.replace(col, F.lit(character), F.lit("?"))
+    return F.lower(col)
+
+
+def contains_any(col: Column, pattern: str, folded: Column | None = None) -> Column:
+    """``col.rlike(pattern)``, faster where ``folded`` holds ``fold_case(col)``.
+
+    A case-insensitive choice of plain words, as in most rule tables, is then a choice of substring
+    searches, which take about a third of the time of the regex. Other patterns stay regexes.
+    """
+    words = _WORD_PATTERN.fullmatch(pattern)
+    if folded is None or words is None:
+        return col.rlike(pattern)
+    return reduce(or_, [folded.contains(word) for word in words[2].lower().split("|")])
+
+
 def classify(col: Column, rules: Sequence[tuple[str, str]], default: str,
-             null_value: str | None = None) -> Column:
-    """Label of the first regex in ``rules`` found in ``col``; ``default`` if none is."""
+             null_value: str | None = None, folded: Column | None = None) -> Column:
+    """Label of the first regex in ``rules`` found in ``col``; ``default`` if none is.
+
+    ``folded`` is explained in ``contains_any``.
+    """
     chain = F.when(col.isNull(), F.lit(default if null_value is None else null_value))
     for pattern, label in rules:
-        chain = chain.when(col.rlike(pattern), F.lit(label))
+        chain = chain.when(contains_any(col, pattern, folded), F.lit(label))
     return chain.otherwise(F.lit(default))
 
 

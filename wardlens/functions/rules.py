@@ -2,7 +2,6 @@
 
 # --- fixed values: raw text formats ---
 RAW_DATE_FORMAT = "yyyy MMM dd hh:mm:ss a"
-DATE_TIME_FORMAT = "yyyy-MM-dd HHmm"
 
 # --- fixed values: raw header -> clean column name (the area header ends in a space) ---
 RAW_TO_CLEAN = {
@@ -123,6 +122,7 @@ DAY_PARTS = [(6, 12, "Morning"), (12, 18, "Afternoon"), (18, 22, "Evening")]
 DAY_PART_DEFAULT = "Night"
 SEASONS = {"Winter": (12, 1, 2), "Spring": (3, 4, 5), "Summer": (6, 7, 8)}
 SEASON_DEFAULT = "Fall"
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 WEEKEND_DAYS = (1, 7)
 
 # --- fixed values: business metrics ---

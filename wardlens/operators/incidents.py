@@ -60,36 +60,45 @@ def _categories_with(pattern: str) -> list[str]:
     return [label for label in _CATEGORIES if re.search(pattern, label)]
 
 
+def _with_folded(incidents: DataFrame, *names: str) -> DataFrame:
+    """Case-folded copies, as columns: inlined, they would be folded again for every word."""
+    return incidents.withColumns({f"_folded_{name}": X.fold_case(F.col(name)) for name in names})
+
+
 def categorize(incidents: DataFrame) -> DataFrame:
     """Category and severity of the description, and the domestic, violent and property flags.
 
     Categories are a closed set, so what follows from a category is looked up, not matched again.
     A dwelling as the premise is enough for the domestic flag.
     """
-    description, category = F.col("crime_description"), F.col("crime_category")
-    domestic = (description.rlike(R.DOMESTIC_PATTERN)
-                | F.col("premise_description").rlike(R.DWELLING_PATTERN))
-    return incidents.withColumn(
-        "crime_category", X.classify(description, R.CATEGORY_RULES, R.CATEGORY_DEFAULT),
-    ).withColumns({
+    texts = ["crime_description", "premise_description"]
+    (description, premise), category = map(F.col, texts), F.col("crime_category")
+    folded, folded_premise = (F.col(f"_folded_{name}") for name in texts)
+    domestic = (X.contains_any(description, R.DOMESTIC_PATTERN, folded)
+                | X.contains_any(premise, R.DWELLING_PATTERN, folded_premise))
+    return _with_folded(incidents, *texts).withColumns({
+        "crime_category": X.classify(description, R.CATEGORY_RULES, R.CATEGORY_DEFAULT,
+                                     folded=folded),
+        "is_domestic_violence": X.null_safe_flag(domestic),
+    }).withColumns({
         "crime_severity": X.map_codes(category, {c: _severity_of(c) for c in _CATEGORIES},
                                       R.SEVERITY_DEFAULT),
-        "is_domestic_violence": X.null_safe_flag(domestic),
         "is_violent_crime": category.isin(_categories_with(R.VIOLENT_PATTERN)),
         "is_property_crime": category.isin(_categories_with(R.PROPERTY_PATTERN)),
-    })
+    }).drop(*(f"_folded_{name}" for name in texts))
 
 
 # ---- coded values -------------------------------------------------------------------------
 
 def standardize(incidents: DataFrame) -> DataFrame:
     """Readable victim sex and descent, and a weapon group."""
-    return incidents.withColumns({
+    return _with_folded(incidents, "weapon_description").withColumns({
         "victim_sex_clean": X.map_codes(F.upper(F.trim("victim_sex")), R.SEX_CODES, R.UNKNOWN),
         "victim_descent_clean": X.map_codes(F.col("victim_descent"), R.DESCENT_CODES, R.UNKNOWN),
         "weapon_category": X.classify(F.col("weapon_description"), R.WEAPON_RULES, "Other",
-                                      null_value=R.UNKNOWN),
-    })
+                                      null_value=R.UNKNOWN,
+                                      folded=F.col("_folded_weapon_description")),
+    }).drop("_folded_weapon_description")
 
 
 # ---- data quality -------------------------------------------------------------------------
@@ -171,9 +180,15 @@ def geo_enrich(incidents: DataFrame, density: DataFrame | None = None) -> DataFr
 # ---- time ---------------------------------------------------------------------------------
 
 def time_dimensions(incidents: DataFrame) -> DataFrame:
-    """Timestamp of the incident and its calendar and day-part columns."""
+    """Timestamp of the incident and its calendar and day-part columns.
+
+    The time is HHmm as a number, so its text is padded to four digits; a time that does not exist
+    gives no timestamp. Date patterns are avoided: formatting and parsing text costs more than all
+    other columns here.
+    """
     date, hour, month = F.col("date_occured"), F.col("occurrence_hour"), F.col("occurrence_month")
     clock = F.lpad(F.col("time_occured").cast("string"), 4, "0")
+    day = F.dayofweek(date)
     day_part = F.when(hour.isNull(), F.lit(R.DAY_PART_DEFAULT))
     for start, end, label in R.DAY_PARTS:
         day_part = day_part.when((hour >= start) & (hour < end), F.lit(label))
@@ -183,16 +198,17 @@ def time_dimensions(incidents: DataFrame) -> DataFrame:
     return (
         incidents
         .withColumns({
-            "datetime_occurred": F.try_to_timestamp(
-                F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), clock),
-                F.lit(R.DATE_TIME_FORMAT)),
             "occurrence_year": F.year(date),
             "occurrence_month": F.month(date),
             "occurrence_day": F.dayofmonth(date),
-            "day_of_week": F.date_format(date, "EEEE"),
-            "day_of_week_num": F.dayofweek(date),
-            "is_weekend": X.null_safe_flag(F.dayofweek(date).isin(*R.WEEKEND_DAYS)),
+            "day_of_week": F.element_at(F.array(*map(F.lit, R.DAY_NAMES)), day),
+            "day_of_week_num": day,
+            "is_weekend": X.null_safe_flag(day.isin(*R.WEEKEND_DAYS)),
         })
+        .withColumn("datetime_occurred", F.try_make_timestamp(
+            "occurrence_year", month, "occurrence_day",
+            F.substring(clock, 1, 2).try_cast("int"), F.substring(clock, 3, 2).try_cast("int"),
+            F.lit(0)))
         .withColumn("occurrence_hour", F.hour("datetime_occurred"))
         .withColumns({
             "time_of_day": day_part.otherwise(F.lit(R.DAY_PART_DEFAULT)),

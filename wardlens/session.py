@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods beyond 8000 bytes. Generated code of wide projections exceeds
+    # that and would be interpreted; with this limit, Spark splits it into small methods instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Streaming state lives off-heap and is written as changelogs, so it can exceed executor memory.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -28,6 +31,13 @@ def build_session(app_name: str, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def limit_generated_methods(spark: SparkSession) -> None:
+    """Set the method limit above on a session that others built, unless they chose one."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key) == "65535":
+        spark.conf.set(key, SETTINGS[key])
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, unique to this application.
 

@@ -26,22 +26,26 @@ def read_calls_stream(spark: SparkSession, fmt: str = "text", starting: str = "l
     return reader.load()
 
 
-def _instant(text: Column, zone: str) -> Column:
+def _instant(text: Column, zone: str, session_zone: str) -> Column:
     """ISO-8601 text as a timestamp; text without an offset is local time in ``zone``."""
-    local = F.convert_timezone(F.lit(zone), F.current_timezone(), text.try_cast("timestamp_ntz"))
+    if zone == session_zone:
+        return text.try_cast("timestamp")
+    local = F.convert_timezone(F.lit(zone), F.lit(session_zone), text.try_cast("timestamp_ntz"))
     return (F.when(text.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), text.try_cast("timestamp"))
             .otherwise(local.cast("timestamp")))
 
 
 def decode_text(df: DataFrame, schema: T.StructType = CALL, column: str = "value") -> DataFrame:
-    """Replace JSON text (or bytes) by its fields; undecodable text is kept in ``_corrupt``."""
+    """Replace JSON text (or bytes) by its fields; undecodable text is kept in ``_corrupt``.
+
+    Other columns get the prefix ``record_``. The fields come out of a generator, so that a filter
+    on one of them does not make the optimizer decode the text twice.
+    """
     target = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     decoded = F.from_json(F.col(column).cast("string"), target,
                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rest = [name for name in df.columns if name != column]
-    return (df.select(*[F.col(name).alias(f"record_{name}") for name in rest],
-                      decoded.alias("decoded"))
-            .select(*[f"record_{name}" for name in rest], "decoded.*"))
+    kept = [F.col(name).alias(f"record_{name}") for name in df.columns if name != column]
+    return df.select(*kept, F.inline(F.array(decoded)))
 
 
 def parse_calls(df: DataFrame, event_time: str = "payload", zone: str = "UTC") -> DataFrame:
@@ -51,7 +55,8 @@ def parse_calls(df: DataFrame, event_time: str = "payload", zone: str = "UTC") -
     """
     decoded = decode_text(df)
     ts = (F.col("record_timestamp").cast("timestamp") if event_time == "record"
-          else _instant(F.col("timestamp"), zone))
+          else _instant(F.col("timestamp"), zone,
+                        df.sparkSession.conf.get("spark.sql.session.timeZone")))
     return decoded.select(
         "call_id", "timestamp", ts.alias("ts"), "call_type", "incident_type", "priority",
         "location.address", "location.area_name", "location.latitude", "location.longitude",
