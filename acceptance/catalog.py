@@ -21,7 +21,7 @@ from wardlens.operators import monitors as N
 from wardlens.session import limit_generated_methods, scratch_dir
 from wardlens.sinks import latest_view, write_daily_csv
 from wardlens.sources import Lake, decode_text, land_raw, parse_calls, read_raw
-from wardlens.streaming import start_streams, upsert_sink, with_event_time
+from wardlens.streaming import start_statistics, start_streams, upsert_sink, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -395,6 +395,17 @@ def stream_call_counts(spark, sf_dir):
     return _replay(C.call_counts(_stream(spark, sf_dir), "priority"), "priority", "complete")
 
 
+@query
+def stream_incident_type_stats(spark, sf_dir):
+    """Running statistics as of the last micro-batch."""
+    base = f"{scratch_dir(spark)}/statistics-{uuid.uuid4().hex}"
+    started = start_statistics(_stream(spark, sf_dir), base, f"{base}/checkpoint", NOW)
+    for running in started.values():
+        running.awaitTermination()
+    view = latest_view(spark, f"{base}/stream_stats_incident_type", "incident_type")
+    return view.select("incident_type", "count", "pct")
+
+
 @query
 def stream_topology(spark, sf_dir):
     """All outputs of the live topology, counted."""

@@ -370,6 +370,7 @@ _SQL = {
         f"SELECT * FROM ({FAILED}) WHERE window_start + 900000 <= {CLOSED}")),
     "stream_call_counts": (CALLS, """SELECT coalesce(priority, 5) AS priority, count(*) AS count
         FROM calls GROUP BY 1"""),
+    "stream_incident_type_stats": (CALLS, _TYPES),
     "stream_topology": (f"{METRICS},\n{CALLS}", f"""
         SELECT 'stream_calls' AS output, count(*) AS n FROM calls
         UNION ALL SELECT 'stream_calls_enriched', count(*) FROM {ENRICHED}

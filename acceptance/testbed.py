@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,6 +157,7 @@ def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- zones derived from the tables, built once per application and table folder -----------
 
 _built: set[tuple[str, str]] = set()
+_building = threading.RLock()
 
 
 def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
@@ -162,33 +165,35 @@ def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(f"{scratch_dir(spark)}/lake-{digest}")
 
 
-def _once(lake: Lake, step: str) -> bool:
-    if (lake.root, step) in _built:
-        return False
-    _built.add((lake.root, step))
-    return True
+def _once(lake: Lake, step: str, build: Callable[[], None]) -> None:
+    with _building:
+        if (lake.root, step) not in _built:
+            build()
+            _built.add((lake.root, step))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = lake_of(spark, sf_dir)
-    if _once(lake, "silver"):
-        write_silver(with_case_columns(incident_rows(spark, sf_dir)), lake)
+    _once(lake, "silver",
+          lambda: write_silver(with_case_columns(incident_rows(spark, sf_dir)), lake))
     return read_silver(spark, lake)
 
 
 def metrics(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     silver(spark, sf_dir)
     lake = lake_of(spark, sf_dir)
-    if _once(lake, "metrics"):
-        build_metrics(spark, lake, enriched=False)
+    _once(lake, "metrics", lambda: build_metrics(spark, lake, enriched=False))
     return read_metrics(spark, lake, name)
 
 
 def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live-call lookup from the published gold tables."""
-    summary = metrics(spark, sf_dir, "area_summary")
     lake = lake_of(spark, sf_dir)
-    if _once(lake, "gold"):
-        write_gold(summary, lake, "gold_bm_area_summary")
-        write_gold(read_metrics(spark, lake, "yoy_stats"), lake, "gold_bm_yoy_crime_trends")
+    tables = {name: metrics(spark, sf_dir, name) for name in ("area_summary", "yoy_stats")}
+
+    def publish() -> None:
+        write_gold(tables["area_summary"], lake, "gold_bm_area_summary")
+        write_gold(tables["yoy_stats"], lake, "gold_bm_yoy_crime_trends")
+
+    _once(lake, "gold", publish)
     return load_area_stats(spark, lake)

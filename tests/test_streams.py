@@ -11,7 +11,7 @@ from wardlens.operators import calls as C
 from wardlens.operators import monitors as N
 from wardlens.sinks import compact, latest_view, write_upserts
 from wardlens.sources import parse_calls, read_calls_stream
-from wardlens.streaming import start_streams, upsert_sink, with_event_time
+from wardlens.streaming import start_statistics, start_streams, upsert_sink, with_event_time
 
 NOW = {"availableNow": True}
 AUDIT = ("processed_at", "processing_version")
@@ -161,6 +161,10 @@ def test_topology_from_json_files(spark, tmp_path, stats):
     assert result(view("stream_unit_utilization", "result_key")) == result(
         N.with_result_key(N.unit_utilization(batch)))
     assert view("stream_area_spikes", "result_key").count() > 2
+    for query in start_statistics(good, str(tmp_path / "out"), str(tmp_path / "checkpoint"), NOW).values():
+        query.awaitTermination()
+    for by in ("priority", "incident_type"):
+        assert result(view(f"stream_stats_{by}", by)) == result(C.call_stats(batch, by))
 
 
 def test_enrichment_beyond_the_broadcast_bound_runs_on_streams(spark, in_order, stats, tmp_path,

@@ -27,15 +27,17 @@ def encode_json(df: DataFrame, column: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias(column))
 
 
+AREA_COLUMNS = ["area_risk_level", "area_performance_tier", "crime_density_category",
+                "resolution_rate"]
+
+
 def enrich_calls(calls: DataFrame, stats: DataFrame, fill_rate: bool = False) -> DataFrame:
     """Calls with risk level, performance tier, density and resolution rate of their area.
 
     Areas match in any case. Calls without a known area keep nulls; ``fill_rate`` makes their
     resolution rate 0.
     """
-    lookup = stats.select("area_key", "area_risk_level", "area_performance_tier",
-                          "crime_density_category", "resolution_rate")
-    enriched = attach(calls, lookup, {"area_key": F.upper("area_name")}, spread_by="call_id")
+    enriched = attach(calls, stats.select("area_key", *AREA_COLUMNS), {"area_key": F.upper("area_name")}, spread_by="call_id")
     if fill_rate:
         enriched = enriched.fillna(0.0, "resolution_rate")
     return enriched

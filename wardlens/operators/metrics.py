@@ -51,7 +51,7 @@ def density_percentile(areas: DataFrame, count_col: str = "total_cases") -> Data
 
     Ranks come from a running total over the distinct counts. Distinct positive counts that add
     up to at most N incidents number fewer than sqrt(2N), about 4.5 million for 10^13 incidents,
-    however many areas there are: that bounds both the single-task window and the broadcast.
+    however many areas there are: that bounds the single-task window.
     """
     whole = Window.orderBy(count_col)
     before = whole.rowsBetween(Window.unboundedPreceding, -1)
@@ -66,7 +66,8 @@ def density_percentile(areas: DataFrame, count_col: str = "total_cases") -> Data
                 .otherwise(F.col("below") / (F.col("all") - 1) * 100)
                 .alias("crime_density_percentile"))
     )
-    return areas.join(F.broadcast(ranks), count_col).withColumn(
+    ranked = attach(areas, ranks, {count_col: F.col(count_col)}, spread_by="area_id")
+    return ranked.withColumn(
         "crime_density_category", X.bucketize(
             F.col("crime_density_percentile"), R.CRIME_DENSITY_BOUNDS, R.CRIME_DENSITY_LABELS,
             null_label=R.CRIME_DENSITY_LABELS[0]))

@@ -7,8 +7,10 @@ from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardlens.functions import with_share
 from wardlens.operators import calls as C
 from wardlens.operators import monitors as M
 from wardlens.sinks.tables import write_upserts
@@ -38,22 +40,41 @@ def upsert_sink(stream: DataFrame, path: str, key: str, checkpoint: str, mode: s
 
 
 def _write_stateless(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Original, enriched and escalated calls of one micro-batch, enriched once."""
+    """Enriched, original and escalated calls of one micro-batch.
+
+    The enriched calls are written first; the other two are read back from them. The source is read
+    once, and nothing of the batch has to fit into executor memory.
+    """
+    spark, name = batch.sparkSession, "stream_calls_enriched"
+    enriched = C.nest_calls(batch)
+    write_upserts(enriched, batch_id, f"{root}/{name}", "call_id")
+    written = spark.read.parquet(f"{root}/{name}/batch_id={batch_id}").select(enriched.columns)
+    write_upserts(written.drop(*C.AREA_COLUMNS), batch_id, f"{root}/stream_calls", "call_id")
+    escalated = C.escalate_calls(written.withColumn("area_name", F.col("location.area_name")))
+    write_upserts(escalated, batch_id, f"{root}/stream_escalated_calls", "call_id")
+
+
+def _write_statistics(batch: DataFrame, batch_id: int, path: str, by: str) -> None:
+    """Counts so far with their shares; read twice, so the state is only computed once."""
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        added = ["area_risk_level", "area_performance_tier", "crime_density_category",
-                 "resolution_rate"]
-        outputs = {
-            "stream_calls": C.nest_calls(batch.drop(*added)),
-            "stream_calls_enriched": C.nest_calls(batch),
-            "stream_escalated_calls": C.escalate_calls(batch),
-        }
-        for name, rows in outputs.items():
-            write_upserts(rows, batch_id, f"{root}/{name}", "call_id")
+        write_upserts(with_share(batch, "count"), batch_id, path, by)
     finally:
         batch.unpersist()
 
 
+def start_statistics(calls: DataFrame, root: str, checkpoints: str,
+                     trigger: dict | None = None) -> dict[str, StreamingQuery]:
+    """Running calls and shares per priority and per incident type."""
+    started = {}
+    for by in ("priority", "incident_type"):
+        name = f"stream_stats_{by}"
+        started[name] = _start(
+            C.call_counts(calls, by), partial(_write_statistics, path=f"{root}/{name}", by=by),
+            name, f"{checkpoints}/{name}", "complete", trigger or {"processingTime": "5 seconds"})
+    return started
+
+
 def start_streams(calls: DataFrame, stats: DataFrame, root: str, checkpoints: str,
                   trigger: dict | None = None, start_ts: datetime | None = None,
                   delay: str = "0 seconds", final_only: bool = False) -> dict[str, StreamingQuery]:
