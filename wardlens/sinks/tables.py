@@ -39,8 +39,8 @@ def write_gold(df: DataFrame, lake: Lake, name: str, fmt: str = "parquet", **opt
 
 
 def write_daily_csv(flat_calls: DataFrame, path: str) -> None:
-    """Append flat calls as CSV, one folder per day of their timestamp."""
-    day = F.date_format(F.to_date(F.substring("timestamp", 1, 10)), "yyyyMMdd")
+    """Append flat calls as CSV, one folder per day of their timestamp; unreadable days share one."""
+    day = F.date_format(F.substring("timestamp", 1, 10).try_cast("date"), "yyyyMMdd")
     (flat_calls.withColumn("call_date", day)
      .write.mode("append").partitionBy("call_date").option("header", True).csv(path))
 
