@@ -18,7 +18,7 @@ from wardlens.operators import calls as C
 from wardlens.operators import incidents as I
 from wardlens.operators import metrics as M
 from wardlens.operators import monitors as N
-from wardlens.session import limit_generated_methods, scratch_dir
+from wardlens.session import limit_generated_methods, materialize, scratch_dir
 from wardlens.sinks import latest_view, write_daily_csv
 from wardlens.sources import Lake, decode_text, land_raw, parse_calls, read_raw
 from wardlens.streaming import start_statistics, start_streams, upsert_sink, with_event_time
@@ -63,7 +63,8 @@ def resolution_by_area(spark, sf_dir):
 
 @query
 def density_percentile(spark, sf_dir):
-    areas = M.area_profile(M.area_year_counts(T.silver(spark, sf_dir)))
+    counts = materialize(M.area_year_counts(T.silver(spark, sf_dir)), "area_year_counts")
+    areas = M.area_profile(counts)
     return areas.select("area_id", "total_cases", "crime_density_percentile",
                                 "crime_density_category")
 

@@ -19,7 +19,7 @@ from wardlens.functions.rules import RAW_DATE_FORMAT, RAW_TO_CLEAN
 from wardlens.operators.incidents import with_case_columns
 from wardlens.plans.batch import build_metrics
 from wardlens.session import scratch_dir
-from wardlens.sinks import write_gold, write_silver
+from wardlens.sinks import write_gold, write_metrics, write_silver
 from wardlens.sources import Lake, load_area_stats, read_metrics, read_silver
 
 # Orders with the area and date of their incidents, step by step.
@@ -194,6 +194,7 @@ def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     def publish() -> None:
         write_gold(tables["area_summary"], lake, "gold_bm_area_summary")
         write_gold(tables["yoy_stats"], lake, "gold_bm_yoy_crime_trends")
+        write_metrics(load_area_stats(spark, lake), lake, "area_stats")
 
     _once(lake, "gold", publish)
-    return load_area_stats(spark, lake)
+    return read_metrics(spark, lake, "area_stats")

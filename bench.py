@@ -7,10 +7,9 @@ import os
 import statistics
 import time
 
-from pyspark.sql import SparkSession
-
 from acceptance import catalog
 from acceptance import testbed
+from wardlens.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -26,17 +25,15 @@ def seconds(action) -> float:
 
 
 def main() -> None:
-    spark = (
-        SparkSession.builder.master(f"local[{CPUS}]").appName("bench")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", CPUS)
+    spark = build_session("bench", **{
+        "spark.master": f"local[{CPUS}]",
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": CPUS,
         # Small test tables: partitions small enough to keep all cores busy.
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    })
     spark.sparkContext.setLogLevel("OFF")
 
     def run(query) -> None:

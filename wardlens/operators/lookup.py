@@ -23,11 +23,12 @@ def attach(facts: DataFrame, lookup: DataFrame, on: Mapping[str, Column], spread
     """Join ``facts`` to ``lookup``, which holds at most one row per key and keeps its other columns.
 
     ``on`` maps each key column of the lookup to an expression over ``facts``; null keys match
-    only for columns in ``null_safe``. The lookup is measured first. Up to ``max_bytes`` it is
-    broadcast and the facts are not shuffled. Beyond that, the facts are shuffled by key and a
-    salt from ``spread_by`` against ``SALTS`` copies of each lookup row, so that neither a hot key
-    nor the null key ends up in one task, also on streams; in batch, adaptive execution splits
-    what is still skewed. Both ways give the same rows.
+    only for columns in ``null_safe``. The lookup is measured first, so it should be a written
+    table or derive from one. Up to ``max_bytes`` it is broadcast and the facts are not shuffled.
+    Beyond that, the facts are shuffled by key and a salt from ``spread_by`` against ``SALTS``
+    copies of each lookup row, so that neither a hot key nor the null key ends up in one task,
+    also on streams; in batch, adaptive execution splits what is still skewed. Both ways give the
+    same rows.
     """
     renamed = {name: f"_lookup_{name}" for name in on}
     side = lookup.withColumnsRenamed(renamed)

@@ -49,6 +49,8 @@ def resolution_stats(counts: DataFrame) -> DataFrame:
 def density_percentile(areas: DataFrame, count_col: str = "total_cases") -> DataFrame:
     """Add each area's percent rank (0-100) by number of incidents, and its density label.
 
+    ``areas`` should derive from a written table, as it is read more than once.
+
     Ranks come from a running total over the distinct counts. Distinct positive counts that add
     up to at most N incidents number fewer than sqrt(2N), about 4.5 million for 10^13 incidents,
     however many areas there are: that bounds the single-task window.

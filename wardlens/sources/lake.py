@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from wardlens.session import materialize
 from wardlens.sources.schemas import RAW_INCIDENT
 
 
@@ -65,8 +66,13 @@ def read_metrics(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
 
 
 def load_area_stats(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Per-area lookup built from the two published gold tables; fails if they are missing."""
+    """Per-area lookup built from the two published gold tables; fails if they are missing.
+
+    It is written to the shared folder, so that a stream's micro-batches only scan the result. A
+    running stream keeps the lookup it was started with.
+    """
     from wardlens.operators.area_stats import area_stats
 
-    return area_stats(spark.read.parquet(lake.gold("gold_bm_area_summary")),
-                      spark.read.parquet(lake.gold("gold_bm_yoy_crime_trends")))
+    stats = area_stats(spark.read.parquet(lake.gold("gold_bm_area_summary")),
+                       spark.read.parquet(lake.gold("gold_bm_yoy_crime_trends")))
+    return materialize(stats, "area_stats")
