@@ -135,3 +135,22 @@ def test_both_join_ways_give_the_same_rows(spark, no_auto_broadcast):
         assert rows == sorted(map(tuple, far.collect()), key=lambda r: r[0])
         assert len(rows) == 3000 if how == "left" else 0 < len(rows) < 3000
         assert "SortMergeJoin" in plan_of(far) and "BroadcastHashJoin" in plan_of(near)
+
+
+def test_large_lookup_join_spreads_hot_and_null_keys(spark, no_auto_broadcast):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        facts = spark.range(90_000).selectExpr(
+            "id", "CASE id % 3 WHEN 0 THEN 7L WHEN 1 THEN NULL ELSE id END AS k")
+        lookup = spark.range(90_000).selectExpr("id AS k", "id * 2 AS v")
+        sizes = {}
+        for name, df in {"salted": attach(facts, lookup, {"k": F.col("k")}, "id", max_bytes=0),
+                         "plain": facts.join(lookup, "k", "left")}.items():
+            parts = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count("v").alias("m"))
+            sizes[name] = parts.agg(F.max("n"), F.sum("n"), F.sum("m")).first()
+        assert sizes["salted"][1:] == sizes["plain"][1:] == (90_000, 60_000)
+        assert sizes["salted"][0] < sizes["plain"][0] / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
