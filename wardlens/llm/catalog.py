@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import html_text, licenses, linkgraph, mixing, token_files, toxicity
+from wardlens.llm import (cotraining, decontaminate, html_text, itq_join, jaccard_join, licenses,
+                          linkgraph, mixing, token_files, toxicity)
 from wardlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,10 @@ def op1_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokenize_to_files(table(spark, sf_dir, "documents"), token_options())
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -30,14 +35,26 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_itq_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
