@@ -30,8 +30,13 @@ def ascii_lower(column: Column) -> Column:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give executors this package; needed where they don't have it on their path."""
+    """Give executors this package; needed where they don't have it on their path.
+
+    Batches for Python are kept at a size that suits long texts, unless the session chose another.
+    """
     context = spark.sparkContext
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     if getattr(context, "_wardlens_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -20,10 +20,12 @@ repeat a ``doc_id`` stand next to each other in the order of their texts' hashes
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ SCALE_BITS = 20
 LOW = 1 << 31           # states stay in LOW .. 2^63 - 1
 HEADER = struct.Struct("<4s8I")
 #: Words that a Python worker remembers between batches and tasks.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -151,44 +153,63 @@ class Coder:
 
 # ---- tokenizer -------------------------------------------------------------------------------
 
-_TOKENIZERS: dict[str, object] = {}
-_CACHES: dict[str, dict[str, bytes]] = {}
+class _Words:
+    """Ids of words seen by this Python worker, flat, with a place for each word."""
 
-
-def _word_ids(words: list[str], path: str) -> list[bytes]:
-    """Ids of each word as uint32 bytes, from the worker's memory or the tokenizer."""
-    if path not in _TOKENIZERS:
+    def __init__(self, path: str) -> None:
+        # Tasks are the parallelism; threads of the library would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path], _CACHES[path] = Tokenizer.from_file(path), {}
-    cache = _CACHES[path]
-    new = [w for w in words if w not in cache]
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = words
-    for k in range(0, len(new), 20_000):
-        part = new[k:k + 20_000]
-        coded = _TOKENIZERS[path].encode_batch_fast(part, add_special_tokens=False)
-        cache.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, coded))
-    found = [cache[w] for w in words]
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    return found
+        self.tokenizer = Tokenizer.from_file(path)
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.sizes = np.zeros(1 << 14, np.int32)
+
+    def add(self, words: list[str]) -> None:
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        first = len(self.place)
+        self.place.update(zip(words, range(first, first + len(words))))
+        ids = np.fromiter(chain.from_iterable(coded), np.uint32)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while len(self.place) > len(self.sizes):
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.sizes[first:first + len(words)] = np.fromiter(map(len, coded), np.int32, len(coded))
+        self.used += len(ids)
+
+    def places(self, words: list[str]) -> np.ndarray:
+        new = [w for w in words if w not in self.place]
+        if len(self.place) + len(new) > CACHE_WORDS:
+            self.clear()
+            new = words
+        for k in range(0, len(new), 10_000):
+            self.add(new[k:k + 10_000])
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+
+_WORDS: dict[str, _Words] = {}
 
 
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, ids of each text); the end id closes every text."""
+    if path not in _WORDS:
+        _WORDS[path] = _Words(path)
+    known = _WORDS[path]
     codes, ends, words = split_words(texts)
-    coded = _word_ids(words.to_pylist(), path) + [np.array([end_id], "<u4").tobytes()]
-    flat = np.frombuffer(b"".join(coded), "<u4")
-    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-    first = np.cumsum(sizes) - sizes
-    codes = np.insert(codes, ends[1:], len(words))
-    n = sizes[codes]
-    before = np.concatenate([[0], np.cumsum(n)])
-    ids = flat[np.repeat(first[codes] - before[:-1], n) + np.arange(before[-1])]
-    borders = before[ends + np.arange(len(ends))]
-    return ids, np.diff(borders)
+    codes = known.places(words.to_pylist())[codes] if len(words) else codes
+    n = known.sizes[codes]
+    first = (np.cumsum(known.sizes[:len(known.place)], dtype=np.int64) - known.sizes[:len(known.place)])[codes]
+    # Texts' ends come after their last word's ids.
+    after = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+    shift = (first - after[:-1]).astype(np.int32)
+    ids = known.flat[np.repeat(shift, n) + np.arange(after[-1], dtype=np.int32)]
+    borders = after[ends]
+    return np.insert(ids, borders[1:], end_id), np.diff(borders) + 1
 
 
 def _packed(ids: np.ndarray) -> bytes:
