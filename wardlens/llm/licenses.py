@@ -135,6 +135,8 @@ def signature_rules() -> list[SignatureRule]:
     """All rules; order settles what priorities leave open."""
     rules = [SignatureRule(label, keyword, use.format(name=name), priority, weight)
              for label, keyword, name in NAMES for use, priority, weight in USES]
+    # Names with a version say enough by themselves.
+    rules += [SignatureRule(label, keyword, name, 25, 0.75) for label, keyword, name in NAMES if " license" in name]
     return rules + [SignatureRule(*text) for text in TEXTS]
 
 

@@ -40,7 +40,7 @@ SCALE_BITS = 20
 LOW = 1 << 31           # states stay in LOW .. 2^63 - 1
 HEADER = struct.Struct("<4s8I")
 #: Words that a Python worker remembers between batches and tasks.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 900_000
 
 
 @dataclass(frozen=True)
@@ -183,13 +183,15 @@ class _Words:
         self.used += len(ids)
 
     def places(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.place]
+        found = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(found < 0)
         if len(self.place) + len(new) > CACHE_WORDS:
             self.clear()
-            new = words
+            new = np.arange(len(words))
+        found[new] = np.arange(len(self.place), len(self.place) + len(new))
         for k in range(0, len(new), 10_000):
-            self.add(new[k:k + 10_000])
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            self.add([words[i] for i in new[k:k + 10_000].tolist()])
+        return found
 
 
 _WORDS: dict[str, _Words] = {}
