@@ -294,5 +294,5 @@ def test_license_base_places_equal_brute_force(spark, corpus):
     assert collections.Counter(tuple(r)[:6] for r in found) == expected
     by_id = {r.doc_id: r for r in found}
     assert by_id[501].labels == "gpl,gpl-3.0" and by_id[502].labels == "apache,apache-2.0"
-    assert by_id[503].n_detections == 2000 and by_id[503].n_base == 2000
+    assert by_id[503].n_detections == 3999 and by_id[503].n_base == 2000
     assert 240 < len(licenses.signature_rules())
