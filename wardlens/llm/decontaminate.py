@@ -19,12 +19,12 @@ judged together, those without one not at all; repeated items are reported each.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +40,10 @@ UNITS = frozenset("""% percent mm cm m km in ft yd mi inch inches foot feet yard
 NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen
     sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million
     half twice""".split())
-NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?%?")
-EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+#: Fixed patterns: numbers, what surrounds a word's core, and ends of sentences.
+NUMBER = r"^[\"'(]*[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?%?[\"').,;:!?]*$"
+EDGES = r"^[^\p{L}\p{N}\p{M}]+|[^\p{L}\p{N}\p{M}]+$"
+CLOSES = r"""[.!?:]["')\]»”’]*$"""
 NUMBER_CODE, UNIT_CODE, NAME_CODE = 1, 2, 3
 
 
@@ -62,21 +64,21 @@ class Templates:
     kinds: np.ndarray     # 0 literal, else a placeholder's code
     ends: np.ndarray
     codes: np.ndarray
-    cores: list[str]      # the words by code, lower-cased, without punctuation at their ends
+    cores: pa.Array       # the words by code, lower-cased, without punctuation at their ends
 
 
 def templates(texts: pa.Array) -> Templates:
     codes, ends, words = split_words(texts)
-    raw = words.to_pylist()
-    cores = [EDGES.sub("", w).lower() for w in raw]
-    count = len(raw)
-    hashes = word_hashes(pa.array(cores, pa.string())) if count else np.empty(0, np.uint64)
-    number = np.fromiter((bool(NUMBER.fullmatch(w.strip(".,;:!?()\"'"))) or c in NUMBER_WORDS
-                          for w, c in zip(raw, cores)), bool, count)
-    unit = np.fromiter((c in UNITS or w in UNITS for c, w in zip(cores, raw)), bool, count)
-    capital = np.fromiter((c != w[:1].lower() and w[:1].isupper() for c, w in
-                           ((c, EDGES.sub("", w)) for c, w in zip(cores, raw))), bool, count)
-    closes = np.fromiter((w.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":") for w in raw), bool, count)
+    bare = pc.replace_substring_regex(words, EDGES, "")
+    cores = pc.utf8_lower(bare)
+    count = len(words)
+    hashes = word_hashes(cores)
+    flag = lambda mask: mask.to_numpy(zero_copy_only=False)
+    number = flag(pc.or_(pc.match_substring_regex(words, NUMBER), pc.is_in(cores, pa.array(sorted(NUMBER_WORDS)))))
+    units = pa.array(sorted(UNITS))
+    unit = flag(pc.or_(pc.is_in(cores, units), pc.is_in(words, units)))
+    capital = flag(pc.utf8_is_upper(pc.utf8_slice_codeunits(bare, 0, 1)))
+    closes = flag(pc.match_substring_regex(words, CLOSES))
     kinds = np.zeros(len(codes), np.int64)
     if len(codes):
         starts = np.zeros(len(codes) + 1, bool)
@@ -105,7 +107,9 @@ def windows(t: Templates, width: int, options: TemplateOptions) -> tuple[np.ndar
 
 
 def _slots(t: Templates, place: int, width: int) -> list[str]:
-    return [t.cores[t.codes[k]] for k in range(place, place + width) if t.kinds[k]]
+    if not t.kinds[place:place + width].any():
+        return []
+    return [t.cores[int(t.codes[k])].as_py() for k in range(place, place + width) if t.kinds[k]]
 
 
 def item_windows(items: DataFrame, options: TemplateOptions) -> DataFrame:
