@@ -121,3 +121,9 @@ def test_flat_calls(spark):
                          "area_name", "latitude", "longitude", "status", "is_dispatched",
                          "units_count", "response_time"]
     assert (row["units_count"], row["response_time"]) == (2, 4.5)
+
+
+def test_documents_that_are_no_calls_are_set_aside(spark):
+    rows = spark.createDataFrame([(None,), ("",), ("  ",), ("{}",), ('{"call_id": null}',), ('{"call_id": "a"}',)], "value string")
+    parsed = parse_calls(rows).select("call_id", "_corrupt").collect()
+    assert [r._corrupt for r in parsed] == ["", "", "  ", "{}", '{"call_id": null}', None]

@@ -130,3 +130,20 @@ def test_daily_csv_appends(spark, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "calls"))
     assert {(r.call_date, r["count"]) for r in back.groupBy("call_date").count().collect()} == {
         (20240101, 2), (20240102, 2), (None, 2)}
+
+
+def test_raw_columns_follow_each_files_header(spark, tmp_path):
+    source = tmp_path / "drop zone"
+    source.mkdir()
+    (source / "a.csv").write_text("DR_NO,AREA NAME,TIME OCC\n1,Central,10\n")
+    (source / "b.csv").write_text("DR_NO,TIME OCC,AREA NAME,LOCATION\n2,11,Harbor,\"he said \"\"hi, you\"\"\",surplus\n")
+    (source / "c.csv").write_text("DR_NO,TIME OCC,AREA NAME,LOCATION\n")
+    lake = Lake(str(tmp_path))
+    land_raw(spark, str(source), lake)
+    landed = {r.value for r in spark.read.text(lake.bronze).collect()}
+    assert '2,11,Harbor,"he said ""hi, you""",surplus' in landed
+    for path in (str(source), lake.bronze):
+        rows = {r["DR_NO"]: r for r in read_raw(spark, path, escape='"').collect()}
+        assert set(rows) == {1, 2}
+        assert (rows[1]["AREA NAME"], rows[1]["TIME OCC"], rows[1]["LOCATION"]) == ("Central", 10, None)
+        assert (rows[2]["AREA NAME"], rows[2]["TIME OCC"], rows[2]["LOCATION"]) == ("Harbor", 11, 'he said "hi, you"')

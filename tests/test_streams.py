@@ -181,3 +181,18 @@ def test_running_counters(spark, in_order, tmp_path):
     calls = call_stream(spark, in_order).withColumn("priority", F.length("call_id"))
     got = run(C.call_counts(calls, "priority"), tmp_path, "complete", key="priority")
     assert sum(r["count"] for r in got.collect()) == len(CALLS)
+
+
+def test_rejected_documents_are_kept_and_foreign_outputs_refused(spark, tmp_path):
+    from wardlens.sources import parse_calls, read_calls_stream
+    from wardlens.streaming import start_rejected
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"call_id": "a"}\n{oops\n{}\n')
+    parsed = parse_calls(read_calls_stream(spark, path=str(tmp_path / "in")))
+    root = str(tmp_path / "out")
+    start_rejected(parsed, root, str(tmp_path / "check"), {"availableNow": True}).awaitTermination()
+    kept = spark.read.parquet(f"{root}/stream_rejected").collect()
+    assert sorted(r.document for r in kept) == ["{oops", "{}"]
+    with pytest.raises(RuntimeError):
+        start_rejected(parsed, root, str(tmp_path / "another"), {"availableNow": True})

@@ -35,25 +35,34 @@ def _instant(text: Column, zone: str, session_zone: str) -> Column:
             .otherwise(local.cast("timestamp")))
 
 
-def decode_text(df: DataFrame, schema: T.StructType = CALL, column: str = "value") -> DataFrame:
+def decode_text(df: DataFrame, schema: T.StructType = CALL, column: str = "value",
+                required: tuple[str, ...] = ()) -> DataFrame:
     """Replace JSON text (or bytes) by its fields; undecodable text is kept in ``_corrupt``.
 
-    Other columns get the prefix ``record_``. The fields come out of a generator, so that a filter
-    on one of them does not make the optimizer decode the text twice.
+    Null and blank documents, and those without a ``required`` field, count as undecodable; a null
+    one is kept as empty text. Other columns get the prefix ``record_``. The fields come out of a
+    generator, so that a filter on one of them does not make the optimizer decode the text twice.
     """
     target = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    decoded = F.from_json(F.col(column).cast("string"), target,
-                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    text = F.col(column).cast("string")
+    decoded = F.from_json(text, target, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     kept = [F.col(name).alias(f"record_{name}") for name in df.columns if name != column]
-    return df.select(*kept, F.inline(F.array(decoded)))
+    rows = df.select(*kept, F.inline(F.array(F.struct(decoded.alias("_decoded"), text.alias("_text")))))
+    unfit = F.col("_text").isNull() | (F.trim("_text") == "")
+    for name in required:
+        unfit |= F.col(f"_decoded.{name}").isNull()
+    corrupt = F.coalesce(F.col(f"_decoded.{CORRUPT}"), F.when(unfit, F.coalesce("_text", F.lit(""))))
+    return rows.select(*(name for name in rows.columns if name not in ("_decoded", "_text")),
+                       *(F.col(f"_decoded.{field.name}") for field in schema.fields), corrupt.alias(CORRUPT))
 
 
 def parse_calls(df: DataFrame, event_time: str = "payload", zone: str = "UTC") -> DataFrame:
     """Flat call columns plus ``ts`` and ``_corrupt`` from JSON in ``value``.
 
+    Documents without a ``call_id`` are set aside in ``_corrupt`` like undecodable ones.
     ``event_time="record"`` takes the topic's record time instead of the document's timestamp.
     """
-    decoded = decode_text(df)
+    decoded = decode_text(df, required=("call_id",))
     ts = (F.col("record_timestamp").cast("timestamp") if event_time == "record"
           else _instant(F.col("timestamp"), zone,
                         df.sparkSession.conf.get("spark.sql.session.timeZone")))

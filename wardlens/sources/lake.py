@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.session import materialize
@@ -32,29 +35,58 @@ class Lake:
         return f"{self.root}/gold/{name}"
 
 
-def land_raw(spark: SparkSession, source: str, lake: Lake) -> None:
-    """Copy raw CSV files into bronze, replacing what was there.
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> files below ``path`` that start with it.
 
-    Fields travel as text, so nothing is lost to a type. A large file is split over many tasks, and
-    each part gets its own header line.
+    One scan of the lines, reduced to a row per file before anything is gathered.
     """
-    (spark.read.option("header", True).csv(source)
-     .write.mode("overwrite")
-     .option("header", True)
-     .option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False)
-     .csv(lake.bronze))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        "value", F.monotonically_increasing_id().alias("at"))
+    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for row in sorted(first.collect(), key=lambda r: (r.header, r.file)):  # as many rows as files
+        groups.setdefault(row.header, []).append(row.file)
+    return groups
+
 
+def _plain(files: list[str]) -> list[str]:
+    """Paths as readers take them: metadata columns give them with escapes."""
+    return [unquote(name) for name in files]
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw incident CSV in the column order of its header, with declared types.
 
-    Only the header line is read to plan the scan. Fields that do not parse become null.
+def land_raw(spark: SparkSession, source: str, lake: Lake) -> None:
+    """Copy the lines of raw CSV files into bronze, replacing what was there.
+
+    Nothing is parsed: quotes and surplus fields arrive as they are. A large file is split over many
+    tasks, and each part starts with the header line of its file.
+    """
+    landed = None
+    for header, files in files_by_header(spark, source).items():
+        lines = spark.read.text(_plain(files)).filter(F.col("value") != header)
+        # The low 33 bits of the id number the rows of a partition.
+        lines = lines.withColumn("at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+        part = lines.select(F.explode(F.when(F.col("at") == 0, F.array(F.lit(header), "value"))
+                                      .otherwise(F.array("value"))).alias("value"))
+        landed = part if landed is None else landed.unionAll(part)
+    if landed is not None:  # a union keeps its parts' partitions apart, so headers stay in front
+        landed.write.mode("overwrite").text(lake.bronze)
+
+
+def read_raw(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Raw incident CSV with declared types; columns are mapped by the header of each file.
+
+    Columns that a file lacks are null. Fields that do not parse become null. ``options`` go to the
+    CSV reader, such as ``escape='"'`` for doubled quotes.
     """
     declared = {field.name: field.dataType for field in RAW_INCIDENT}
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header])
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    found = None
+    for header, files in files_by_header(spark, path).items():
+        names = next(csv.reader([header.removeprefix("\ufeff")], delimiter=options.get("sep", ",")), [])
+        schema = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in names])
+        part = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", enforceSchema=True, **options).csv(_plain(files))
+        found = part if found is None else found.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], RAW_INCIDENT) if found is None else found
 
 
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -65,14 +97,21 @@ def read_metrics(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return spark.read.parquet(lake.metrics(name))
 
 
-def load_area_stats(spark: SparkSession, lake: Lake) -> DataFrame:
+def load_area_stats(spark: SparkSession, lake: Lake, fmt: str = "parquet", **options: str) -> DataFrame:
     """Per-area lookup built from the two published gold tables; fails if they are missing.
 
+    ``fmt`` and ``options`` are those that the gold tables were written with.
+
     It is written to the shared folder, so that a stream's micro-batches only scan the result. A
     running stream keeps the lookup it was started with.
     """
     from wardlens.operators.area_stats import area_stats
 
-    stats = area_stats(spark.read.parquet(lake.gold("gold_bm_area_summary")),
-                       spark.read.parquet(lake.gold("gold_bm_yoy_crime_trends")))
+    def gold(name: str) -> DataFrame:
+        reader = spark.read.format(fmt).options(**options)
+        if fmt in ("parquet", "orc", "json", "csv"):
+            return reader.load(lake.gold(name))
+        return reader.option("collection", name).load()
+
+    stats = area_stats(gold("gold_bm_area_summary"), gold("gold_bm_yoy_crime_trends"))
     return materialize(stats, "area_stats")

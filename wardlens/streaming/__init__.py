@@ -1,3 +1,5 @@
-from wardlens.streaming.topology import start_statistics, start_streams, upsert_sink, with_event_time
+from wardlens.streaming.topology import (
+    start_rejected, start_statistics, start_streams, upsert_sink, with_event_time,
+)
 
-__all__ = ["start_statistics", "start_streams", "upsert_sink", "with_event_time"]
+__all__ = ["start_rejected", "start_statistics", "start_streams", "upsert_sink", "with_event_time"]

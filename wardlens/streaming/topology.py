@@ -28,6 +28,31 @@ def _start(stream: DataFrame, write, name: str | None, checkpoint: str, mode: st
     return (writer.queryName(name) if name else writer).start()
 
 
+def _refuse_foreign(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """A new checkpoint numbers batches from 0; in another run's output its rows would count as old."""
+    context = stream.sparkSession.sparkContext
+
+    def exists(name: str) -> bool:
+        place = context._jvm.org.apache.hadoop.fs.Path(name)
+        return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+
+    if exists(path) and not exists(checkpoint):
+        raise RuntimeError(f"{path} holds another run's output: keep its checkpoint or choose a new folder")
+
+
+def _write_rejected(batch: DataFrame, batch_id: int, path: str) -> None:
+    batch.withColumn("processed_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def start_rejected(parsed: DataFrame, root: str, checkpoints: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the text of documents that are no calls, below ``root/stream_rejected``."""
+    name = "stream_rejected"
+    _refuse_foreign(parsed, f"{root}/{name}", f"{checkpoints}/{name}")
+    rejected = parsed.filter("_corrupt IS NOT NULL").select(F.col("_corrupt").alias("document"))
+    return _start(rejected, partial(_write_rejected, path=f"{root}/{name}"), name, f"{checkpoints}/{name}",
+                  "append", trigger or {"processingTime": "5 seconds"})
+
+
 def upsert_sink(stream: DataFrame, path: str, key: str, checkpoint: str, mode: str = "update",
                 trigger: dict | None = None, name: str | None = None, fmt: str = "parquet",
                 **options: str) -> StreamingQuery:
@@ -35,6 +60,8 @@ def upsert_sink(stream: DataFrame, path: str, key: str, checkpoint: str, mode: s
 
     Failed tasks are retried and failed batches replayed from the checkpoint: rows are not lost.
     """
+    if fmt == "parquet":
+        _refuse_foreign(stream, path, checkpoint)
     write = partial(write_upserts, path=path, key=key, fmt=fmt, **options)
     return _start(stream, write, name, checkpoint, mode, trigger or {"processingTime": "5 seconds"})
 
