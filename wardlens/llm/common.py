@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -52,8 +53,18 @@ def ship_package(spark: SparkSession) -> None:
     context._wardlens_shipped = True
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about SLICE_BYTES of text each, one row at least."""
+#: What operators remember in a Python worker between tasks.
+REMEMBERED: list[dict] = []
+
+
+def slices(batch: pa.RecordBatch, column: str, own: dict | None = None) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about SLICE_BYTES of text each, one row at least.
+
+    What other operators' tasks left in this worker is dropped; ``own`` stays.
+    """
+    for memory in REMEMBERED:
+        if memory is not own:
+            memory.clear()
     if not batch.num_rows:
         return
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -61,6 +72,16 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:]):
         yield batch.slice(start, end - start)
+    give_back_memory()
+
+
+def give_back_memory() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -33,14 +33,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import ship_package, slices, split_words
+from wardlens.llm.common import REMEMBERED, ship_package, slices, split_words
 from wardlens.session import materialize, scratch_dir
 
 SCALE_BITS = 20
 LOW = 1 << 31           # states stay in LOW .. 2^63 - 1
 HEADER = struct.Struct("<4s8I")
 #: Words that a Python worker remembers between batches and tasks.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 500_000
 
 
 @dataclass(frozen=True)
@@ -195,6 +195,7 @@ class _Words:
 
 
 _WORDS: dict[str, _Words] = {}
+REMEMBERED.append(_WORDS)
 
 
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -244,7 +245,7 @@ def encode_documents(docs: DataFrame, options: TokenOptions) -> DataFrame:
                 names=["part", "block", "n_tokens", "doc_ids", "sizes", "ids"])
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", _WORDS):
                 found, counts = encode_texts(piece.column("text"), options.tokenizer, options.end_id)
                 before = np.concatenate([[0], np.cumsum(counts)])
                 names, first = piece.column("doc_id").to_pylist(), 0

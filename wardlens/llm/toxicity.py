@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import mix64, ship_package, slices, split_words
+from wardlens.session import materialize
 
 
 @dataclass(frozen=True)
@@ -98,44 +99,25 @@ def _present(texts: pa.Array, options: NgramOptions, features: np.ndarray | None
     return text[new], gram[new]
 
 
-def fit(texts: pa.Array, labels: np.ndarray, options: NgramOptions) -> LinearModel:
-    """Fits the model on whole texts held in memory; the caller bounds their number."""
-    rows, grams = [], []
-    for k in range(0, len(texts), 64):
-        r, g = _present(texts.slice(k, 64), options, None)
-        rows.append(r + k)
-        grams.append(g)
-    return fit_features(np.concatenate(rows), np.concatenate(grams), labels, options)
-
-
-def fit_features(rows: np.ndarray, grams: np.ndarray, labels: np.ndarray, options: NgramOptions) -> LinearModel:
+def fit_weights(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, features: np.ndarray,
+                scale: np.ndarray, options: NgramOptions) -> LinearModel:
+    """Logistic regression over (row, feature) pairs, each with its feature's log-count ratio."""
     positives, total = int(labels.sum()), len(labels)
+    share = positives / total if total else 0.0
     if positives in (0, total):
-        share = positives / total if total else 0.0
         return LinearModel(np.empty(0, np.uint64), np.empty(0), _logit(share), options)
-    names, columns = np.unique(grams, return_inverse=True)
-    pos = np.bincount(columns, weights=labels[rows], minlength=len(names))
-    every = np.bincount(columns, minlength=len(names))
-    share, a = positives / total, options.smoothing
-    ratio = np.log((pos + a * share) / (every - pos + a * (1 - share))) - np.log(share / (1 - share))
-    good = np.flatnonzero((np.abs(ratio) >= options.min_ratio) & (every >= options.min_texts))
-    good = np.sort(good[np.argsort(-np.abs(ratio[good]) * np.log1p(every[good]), kind="stable")[:options.max_features]])
-    new = np.full(len(names), -1)
-    new[good] = np.arange(len(good))
-    keep = new[columns] >= 0
-    rows, columns, scale = rows[keep], new[columns[keep]], ratio[good]
     values = scale[columns]
-    weights, bias = np.zeros(len(good)), _logit(share)
-    m, v = np.zeros(len(good) + 1), np.zeros(len(good) + 1)
+    weights, bias = np.zeros(len(features)), _logit(share)
+    m, v = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
     for step in range(1, options.steps + 1):
         z = np.bincount(rows, weights=values * weights[columns], minlength=total) + bias
         error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / total
-        slope = np.append(np.bincount(columns, weights=values * error[rows], minlength=len(good))
+        slope = np.append(np.bincount(columns, weights=values * error[rows], minlength=len(features))
                           + options.decay * weights, error.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         move = 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return LinearModel(names[good], weights * scale, float(bias), options)
+    return LinearModel(features, weights * scale, float(bias), options)
 
 
 def _logit(p: float) -> float:
@@ -182,12 +164,41 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, options: NgramOptions = Ngr
                     [part.column("doc_id"), part.column("label"), pa.array(blobs, pa.binary())],
                     names=["doc_id", "label", "grams"])
 
-    # An n-gram that few sampled texts hold is dropped before the sample's features are gathered.
-    found = sample.mapInArrow(present, "doc_id long, label int, grams binary").toArrow().sort_by("doc_id")
-    labels_ = found.column("label").to_numpy().astype(np.float64)
-    grams = [np.frombuffer(b, np.uint64) for b in found.column("grams").to_pylist()]
-    rows = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-    return fit_features(rows, np.concatenate(grams) if grams else np.empty(0, np.uint64), labels_, options)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label = batch.column("label").to_numpy()
+            blobs = [np.frombuffer(b, np.uint64) for b in batch.column("grams").to_pylist()]
+            grams = np.concatenate(blobs) if blobs else np.empty(0, np.uint64)
+            names, place, n = np.unique(grams, return_inverse=True, return_counts=True)
+            pos = np.bincount(place, np.repeat(label, [len(b) for b in blobs]), len(names))
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(pos), pa.array(n)], names=["gram", "pos", "n"])
+
+    held = materialize(sample.mapInArrow(present, "doc_id long, label int, grams binary"), "toxicity-sample")
+    positives, total = held.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
+    share, a = positives / max(1, total), options.smoothing
+    if positives in (0, total):
+        return LinearModel(np.empty(0, np.uint64), np.empty(0), _logit(share), options)
+    ratio = F.log((F.col("pos") + a * share) / (F.col("n") - F.col("pos") + a * (1 - share))) - float(np.log(share / (1 - share)))
+    counted = held.mapInArrow(count, "gram long, pos double, n long").groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    chosen = (counted.withColumn("ratio", ratio).filter((F.abs("ratio") >= options.min_ratio) & (F.col("n") >= options.min_texts))
+              .orderBy((F.abs("ratio") * F.log1p("n")).desc(), "gram").limit(options.max_features)
+              .select("gram", "ratio").toArrow())
+    names, scale = chosen.column("gram").to_numpy().view(np.uint64), chosen.column("ratio").to_numpy()
+    order = np.argsort(names)
+    features, scale = names[order], scale[order]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.flatnonzero(np.isin(features, np.frombuffer(b, np.uint64))).astype("<i4").tobytes()
+                     for b in batch.column("grams").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.binary())],
+                                             names=["doc_id", "label", "places"])
+
+    # The driver gathers the places of chosen features of the bounded sample only.
+    gathered = held.mapInArrow(place, "doc_id long, label int, places binary").toArrow().sort_by("doc_id")
+    places = [np.frombuffer(b, "<i4") for b in gathered.column("places").to_pylist()]
+    rows = np.repeat(np.arange(len(places)), [len(p) for p in places])
+    return fit_weights(rows, np.concatenate(places), gathered.column("label").to_numpy().astype(float), features, scale, options)
 
 
 def score_toxicity(docs: DataFrame, model: LinearModel) -> DataFrame:
