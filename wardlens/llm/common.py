@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import os
 import tempfile
 import zipfile
@@ -72,16 +71,6 @@ def slices(batch: pa.RecordBatch, column: str, own: dict | None = None) -> Itera
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:]):
         yield batch.slice(start, end - start)
-    give_back_memory()
-
-
-def give_back_memory() -> None:
-    """Return freed memory to the system: Python workers live on between tasks and stages."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # another C library
-        pass
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
