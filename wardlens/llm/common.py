@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -56,18 +57,39 @@ def ship_package(spark: SparkSession) -> None:
 REMEMBERED: list[dict] = []
 
 
-def slices(batch: pa.RecordBatch, column: str, own: dict | None = None) -> Iterator[pa.RecordBatch]:
-    """Consecutive parts of a batch with about SLICE_BYTES of text each, one row at least.
+def _libc():
+    """The C library's memory settings, where it has them."""
+    library = ctypes.CDLL(None)
+    return library if hasattr(library, "mallopt") and hasattr(library, "malloc_trim") else None
+
+
+def drop_remembered(own: dict | None = None) -> None:
+    """Drop what other operators left in this Python worker and return free memory to the system.
+
+    Workers live on between stages. This only does anything when the operator changes, as trimming
+    after each batch would cost time. Arrays from a megabyte on are then mapped one by one, so that
+    they leave no holes behind.
+    """
+    others = [memory for memory in REMEMBERED if memory is not own and memory]
+    for memory in others:
+        memory.clear()
+    if (others or own is not None and not own) and (library := _libc()):
+        pa.default_memory_pool().release_unused()
+        library.malloc_trim(0)
+        library.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
+def slices(batch: pa.RecordBatch, column: str, own: dict | None = None,
+           size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch with about ``size`` bytes of text each, one row at least.
 
     What other operators' tasks left in this worker is dropped; ``own`` stays.
     """
-    for memory in REMEMBERED:
-        if memory is not own:
-            memory.clear()
+    drop_remembered(own)
     if not batch.num_rows:
         return
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lengths.astype(np.int64)) // SLICE_BYTES
+    part = np.cumsum(lengths.astype(np.int64)) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(cuts, cuts[1:]):
         yield batch.slice(start, end - start)

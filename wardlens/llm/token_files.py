@@ -41,6 +41,8 @@ LOW = 1 << 31           # states stay in LOW .. 2^63 - 1
 HEADER = struct.Struct("<4s8I")
 #: Words that a Python worker remembers between batches and tasks.
 CACHE_WORDS = 500_000
+#: Text encoded at once.
+ENCODED_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -245,7 +247,7 @@ def encode_documents(docs: DataFrame, options: TokenOptions) -> DataFrame:
                 names=["part", "block", "n_tokens", "doc_ids", "sizes", "ids"])
 
         for batch in batches:
-            for piece in slices(batch, "text", _WORDS):
+            for piece in slices(batch, "text", _WORDS, ENCODED_BYTES):
                 found, counts = encode_texts(piece.column("text"), options.tokenizer, options.end_id)
                 before = np.concatenate([[0], np.cumsum(counts)])
                 names, first = piece.column("doc_id").to_pylist(), 0
