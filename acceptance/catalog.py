@@ -360,6 +360,13 @@ def stream_area_spikes(spark, sf_dir):
     return _replay(N.with_result_key(spikes), "result_key", "append")
 
 
+@query
+def stream_spikes_updated(spark, sf_dir):
+    """Spikes as they happen: windows still open count too."""
+    spikes = N.spike_detection(_timed(spark, sf_dir), start_ts=CALLS_START, final_only=False)
+    return _replay(N.with_result_key(spikes), "result_key")
+
+
 @query
 def stream_response_windows(spark, sf_dir):
     averages = N.response_averages(_timed(spark, sf_dir), final_only=False)

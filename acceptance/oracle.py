@@ -362,6 +362,7 @@ _SQL = {
     "stream_escalated_calls": (f"{METRICS},\n{CALLS}", ESCALATED),
     "stream_area_spikes": (CALLS, _windowed(
         f"SELECT * FROM ({SPIKES}) WHERE window_end <= {CLOSED}")),
+    "stream_spikes_updated": (CALLS, _windowed(SPIKES)),
     "stream_response_windows": (CALLS, _windowed(RESPONSES)),
     "stream_response_degradation": (f"{METRICS},\n{CALLS}", _windowed(DEGRADED)),
     "stream_unit_utilization": (CALLS, _windowed(UNIT_TABLE)),
@@ -375,7 +376,7 @@ _SQL = {
         SELECT 'stream_calls' AS output, count(*) AS n FROM calls
         UNION ALL SELECT 'stream_calls_enriched', count(*) FROM {ENRICHED}
         UNION ALL SELECT 'stream_escalated_calls', count(*) FROM ({ESCALATED})
-        UNION ALL SELECT 'stream_area_spikes', count(*) FROM ({SPIKES}) WHERE window_end <= {CLOSED}
+        UNION ALL SELECT 'stream_area_spikes', count(*) FROM ({SPIKES})
         UNION ALL SELECT 'stream_response_degradation', count(*) FROM ({DEGRADED})
         UNION ALL SELECT 'stream_unit_utilization', count(*) FROM ({UNITS})
         UNION ALL SELECT 'stream_dispatch_failures', count(*) FROM ({FAILED})"""),

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from test_monitors import CALLS, SCHEMA, START, STATS
 from wardlens.operators import calls as C
 from wardlens.operators import monitors as N
-from wardlens.sinks import compact, latest_view, write_upserts
+from wardlens.sinks import compact, compact_log, latest_view, write_upserts
 from wardlens.sources import parse_calls, read_calls_stream
 from wardlens.streaming import start_statistics, start_streams, upsert_sink, with_event_time
 
@@ -129,6 +130,23 @@ def test_latest_view_orders_within_a_batch(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "compact")).count() == 2
 
 
+def test_compacted_log_reads_its_base_and_later_batches(spark, tmp_path):
+    path, schema = str(tmp_path / "log"), "id string, n int, v string"
+    batch = lambda number, *rows: write_upserts(spark.createDataFrame(list(rows), schema), number, path, "id")
+    view = lambda: {r.id: (r.n, r.v) for r in latest_view(spark, path, "id").collect()}
+    batch(0, ("k", 1, "x"), ("j", 2, None))
+    batch(1, ("k", 5, "y"))
+    before = view()
+    assert compact_log(spark, path, "id") == 1 and view() == before == {"k": (5, "y"), "j": (2, None)}
+    assert compact_log(spark, path, "id") == 1  # nothing new
+    batch(2, ("j", 7, "z"), ("i", 8, "w"))
+    plan = latest_view(spark, path, "id")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*\(batch_id#\d+ > 1\)", plan)
+    expected = {"k": (5, "y"), "j": (7, "z"), "i": (8, "w")}
+    assert view() == expected
+    assert compact_log(spark, path, "id") == 2 and view() == expected
+
+
 def test_topology_from_json_files(spark, tmp_path, stats):
     """JSON lines in, seven keyed outputs out; the malformed line is set aside."""
     (tmp_path / "in").mkdir()
@@ -160,7 +178,9 @@ def test_topology_from_json_files(spark, tmp_path, stats):
         N.with_result_key(N.dispatch_failures(batch, stats)))
     assert result(view("stream_unit_utilization", "result_key")) == result(
         N.with_result_key(N.unit_utilization(batch)))
-    assert view("stream_area_spikes", "result_key").count() > 2
+    spikes = view("stream_area_spikes", "result_key")
+    assert spikes.count() > 2
+    assert result(spikes) == result(N.with_result_key(N.spike_detection(batch, start_ts=START)))
     for query in start_statistics(good, str(tmp_path / "out"), str(tmp_path / "checkpoint"), NOW).values():
         query.awaitTermination()
     for by in ("priority", "incident_type"):

@@ -50,20 +50,23 @@ def hopping_sums(calls: DataFrame, sums: dict[str, Column], size: int, slide: in
 
 def spike_detection(calls: DataFrame, slot: int = 5, background: int = 60,
                     factor: float = R.SPIKE_FACTOR, warmup: int = 60,
-                    start_ts: datetime | None = None) -> DataFrame:
+                    start_ts: datetime | None = None, final_only: bool = True) -> DataFrame:
     """Slots with more than ``factor`` times the mean slot of the background window they end.
 
     Both counts come out of one aggregation: a slot counts for every background window over it,
     and as the detection count of the one that ends with it. With ``start_ts``, slots that begin
-    less than ``warmup`` minutes after it are left out.
+    less than ``warmup`` minutes after it are left out. A stream with ``final_only=False`` counts calls in
+    background windows directly, so that it can report spikes in update mode, while windows are open.
     """
-    slots = slot_sums(calls, {"calls": F.count("*")}, slot)
-    spans = F.window(F.window_time("slot"), _minutes(background), _minutes(slot)).alias("span")
-    own = F.when(F.col("slot.end") == F.col("span.end"), F.col("calls"))
-    counted = (slots.select("area_name", "slot", "calls", spans)
-               .groupBy("area_name", "span")
-               .agg(F.sum("calls").alias("background_count"), F.sum(own).alias("call_count")))
     slot_start = F.col("span.end") - F.expr(f"INTERVAL '{slot}' MINUTE")
+    if calls.isStreaming and not final_only:
+        spans = F.window("ts", _minutes(background), _minutes(slot))
+        counted = (calls.filter(F.col("area_name").isNotNull()).select("area_name", "ts", spans.alias("span"))
+                   .groupBy("area_name", "span")
+                   .agg(F.count("*").alias("background_count"),
+                        F.count_if(F.col("ts") >= slot_start).alias("call_count")))
+    else:
+        counted = _slot_backgrounds(calls, slot, background)
     baseline = F.col("background_count") / (background / slot)
     found = counted.filter(F.col("call_count") > factor * baseline)
     if start_ts is not None:
@@ -77,6 +80,16 @@ def spike_detection(calls: DataFrame, slot: int = 5, background: int = 60,
         (F.col("call_count") / baseline).alias("spike_ratio"))
 
 
+def _slot_backgrounds(calls: DataFrame, slot: int, background: int) -> DataFrame:
+    """Calls per area and background window, and those in the slot that ends with it."""
+    slots = slot_sums(calls, {"calls": F.count("*")}, slot)
+    spans = F.window(F.window_time("slot"), _minutes(background), _minutes(slot)).alias("span")
+    own = F.when(F.col("slot.end") == F.col("span.end"), F.col("calls"))
+    return (slots.select("area_name", "slot", "calls", spans)
+            .groupBy("area_name", "span")
+            .agg(F.sum("calls").alias("background_count"), F.sum(own).alias("call_count")))
+
+
 def response_averages(calls: DataFrame, size: int = 30, slide: int = 5,
                       final_only: bool = True) -> DataFrame:
     """Mean response time of dispatched calls per area and window."""

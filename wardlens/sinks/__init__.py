@@ -1,7 +1,7 @@
 from wardlens.sinks.tables import (
-    compact, latest_view, with_audit, write_daily_csv, write_gold, write_metrics, write_silver,
+    compact, compact_log, latest_view, with_audit, write_daily_csv, write_gold, write_metrics, write_silver,
     write_upserts,
 )
 
-__all__ = ["compact", "latest_view", "with_audit", "write_daily_csv", "write_gold", "write_metrics",
+__all__ = ["compact", "compact_log", "latest_view", "with_audit", "write_daily_csv", "write_gold", "write_metrics",
            "write_silver", "write_upserts"]

@@ -107,14 +107,15 @@ def start_streams(calls: DataFrame, stats: DataFrame, root: str, checkpoints: st
                   delay: str = "0 seconds", final_only: bool = False) -> dict[str, StreamingQuery]:
     """Start all outputs below ``root``; ``calls`` are parsed calls.
 
-    Windowed results are upserted whenever they change, except spikes, which are final when
-    written. ``final_only`` makes all of them final: one row per closed window.
+    Windowed results are upserted whenever they change. ``final_only`` makes all of them final: one
+    row per closed window.
     """
     trigger = trigger or {"processingTime": "5 seconds"}
     timed = with_event_time(calls, delay)
     mode = "append" if final_only else "update"
     monitors = {
-        "stream_area_spikes": (M.spike_detection(timed, start_ts=start_ts), "append"),
+        "stream_area_spikes": 
+            (M.spike_detection(timed, start_ts=start_ts, final_only=final_only), mode),
         "stream_response_degradation":
             (M.response_degradation(timed, stats, final_only=final_only), mode),
         "stream_unit_utilization": (M.unit_utilization(timed), mode),
