@@ -77,6 +77,22 @@ def test_token_files_equal_the_tokenizer(spark, corpus, tmp_path):
     assert empty.count() == 0
 
 
+@pytest.mark.parametrize("most", [1, 40, 10_000])
+def test_forgotten_words_change_no_ids(monkeypatch, most):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "CACHE_WORDS", most)
+    monkeypatch.setattr(token_files, "_WORDS", {})
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), np.random.default_rng(4)
+    tokenizer = Tokenizer.from_file(path)
+    for _ in range(30):
+        texts = [" ".join(f"w{k}x" for k in rng.zipf(1.5, 30) % 300) for _ in range(4)] + [None, ""]
+        ids, sizes = token_files.encode_texts(pa.array(texts), path, 2)
+        expected = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+        assert ids.tolist() == sum(expected, []) and sizes.tolist() == list(map(len, expected))
+
+
 # ---- op 2 ----
 
 def brute_components(rows):

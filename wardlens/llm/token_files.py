@@ -25,7 +25,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,8 @@ from wardlens.session import materialize, scratch_dir
 SCALE_BITS = 20
 LOW = 1 << 31           # states stay in LOW .. 2^63 - 1
 HEADER = struct.Struct("<4s8I")
-#: Words that a Python worker remembers between batches and tasks.
-CACHE_WORDS = 500_000
+#: Words that a Python worker remembers between batches and tasks; beyond, those that came once go.
+CACHE_WORDS = 400_000
 #: Text encoded at once.
 ENCODED_BYTES = 2 << 20
 
@@ -170,26 +170,46 @@ class _Words:
         self.place: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.sizes = np.zeros(1 << 14, np.int32)
+        self.again = np.zeros(1 << 14, bool)
+
+    def forget(self) -> None:
+        """Drop words that didn't come again since the last time; all, if that leaves too many."""
+        count = len(self.place)
+        keep, sizes = np.flatnonzero(self.again[:count]), self.sizes[:count]
+        if len(keep) > CACHE_WORDS // 2:
+            keep = keep[:0]
+        words = list(compress(self.place, self.again[:count].tolist())) if len(keep) else []
+        n, first = sizes[keep], np.cumsum(sizes, dtype=np.int64) - sizes
+        flat = self.flat[np.repeat(first[keep] - (np.cumsum(n, dtype=np.int64) - n), n) + np.arange(n.sum())]
+        self.clear()
+        self.place.update(zip(words, range(len(words))))
+        self.store(flat, n, 0)
 
-    def add(self, words: list[str]) -> None:
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        first = len(self.place)
-        self.place.update(zip(words, range(first, first + len(words))))
-        ids = np.fromiter(chain.from_iterable(coded), np.uint32)
+    def store(self, ids: np.ndarray, sizes: np.ndarray, first: int) -> None:
+        """Append the ids of words whose places start at ``first``."""
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.place) > len(self.sizes):
+        while first + len(sizes) > len(self.sizes):
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         self.flat[self.used:self.used + len(ids)] = ids
-        self.sizes[first:first + len(words)] = np.fromiter(map(len, coded), np.int32, len(coded))
+        self.sizes[first:first + len(sizes)] = sizes
         self.used += len(ids)
 
+    def add(self, words: list[str]) -> None:
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        first = len(self.place)
+        self.place.update(zip(words, range(first, first + len(words))))
+        self.store(np.fromiter(chain.from_iterable(coded), np.uint32), np.fromiter(map(len, coded), np.int32, len(coded)), first)
+
     def places(self, words: list[str]) -> np.ndarray:
         found = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
         new = np.flatnonzero(found < 0)
         if len(self.place) + len(new) > CACHE_WORDS:
-            self.clear()
-            new = np.arange(len(words))
+            self.forget()
+            found = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+            new = np.flatnonzero(found < 0)
+        self.again[found[found >= 0]] = True
         found[new] = np.arange(len(self.place), len(self.place) + len(new))
         for k in range(0, len(new), 10_000):
             self.add([words[i] for i in new[k:k + 10_000].tolist()])
