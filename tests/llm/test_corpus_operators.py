@@ -295,6 +295,24 @@ def test_templates_catch_other_numbers_and_need_consistent_slots(spark):
     assert decontaminate.contaminated(documents(spark, []), items).count() == 0
 
 
+def test_templates_find_a_copy_beside_variants(spark):
+    item = "the old farmer has 12 apples and gives 5 apples to each child so how many apples of 12 are left at noon"
+    variant, mixed = item.replace("12", "40").replace("5", "8"), item.replace("12", "40", 1)
+    other = "quite another text of fourteen words stands between both so that nothing touches here"
+    words = item.split()
+    half = " ".join(words[:11] + ["perhaps"] + words[11:])
+    rows = [(1, f"{item} {other} {variant}", "s"), (2, f"{mixed} {other} {item}", "s"), (3, mixed, "s"),
+            (4, f"{half.replace('12', '40').replace('5', '8')} {other} {item.replace('12', '77')}", "s"),
+            (5, f"{other} {' '.join(item.replace('12', '9').split()[:9])} {other} {item}", "s"),
+            (6, item, "s"), (6, mixed, "s"), (7, f"{half} {other} {mixed}", "s")]
+    items = spark.createDataFrame([(1, item), (2, variant)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.exact for r in decontaminate.contaminated(documents(spark, rows), items).collect()}
+    assert found == {(1, 1): True, (1, 2): True, (2, 1): True, (2, 2): False, (4, 1): False, (4, 2): False,
+                     (5, 1): True, (5, 2): False, (6, 1): True, (6, 2): False, (7, 1): True, (7, 2): False}
+    kept = decontaminate.drop_contaminated(documents(spark, rows), items).collect()
+    assert [r.doc_id for r in kept] == [3]
+
+
 # ---- op 10 ----
 
 def test_license_base_places_equal_brute_force(spark, corpus):

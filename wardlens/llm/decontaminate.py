@@ -4,17 +4,20 @@ Words become typed placeholders where they are numbers, units after numbers, or
 words inside a sentence), else their lower-cased core without punctuation at either end. Runs of
 ``width`` consecutive template words are hashed, in documents and in benchmark items, and joined by
 hash; so a question with other numbers or names still matches. A match counts only if its slots are
-consistent: each value in the item stands for one value in the document.
+consistent: each value in the item stands for one value in the document. This is judged by alignment
+(place in the document less place in the item), so that a copy is found beside variants of itself.
 
 Documents are read once. A filter of fixed size, made from the item windows and checked in place,
 drops windows that can't match before anything is shuffled; the join after it is exact, whatever the
-size of the benchmark. A document is reported for an item if matched windows cover ``coverage`` of the
-item's windows.
+size of the benchmark. A document is reported for an item if the windows of one alignment cover
+``coverage`` of the item's windows, with consistent alignments at most ``shift`` words away (small
+insertions), or all windows found in the document do and are consistent, or all verbatim ones do.
 
 Special cases: null and empty texts have no windows; items with fewer than ``width`` words have one
 window of their own length, those with fewer than ``least_words`` none, and windows with fewer than
-``least_literals`` words that are no placeholders count nowhere; rows that share a ``doc_id`` are
-judged together, those without one not at all; repeated items are reported each.
+``least_literals`` words that are no placeholders count nowhere; of rows that share a
+``doc_id`` each text is judged by itself and the best reported, those without one not at all;
+repeated items are reported each.
 """
 
 from __future__ import annotations
@@ -53,6 +56,7 @@ class TemplateOptions:
     least_words: int = 5
     least_literals: int = 3
     coverage: float = 0.5
+    shift: int = 16
     filter_bits: int = 26
 
 
@@ -159,7 +163,7 @@ def _filter(hashes: DataFrame, bits: int) -> np.ndarray:
 
 
 def document_windows(docs: DataFrame, bitmap: np.ndarray, widths: list[int], options: TemplateOptions) -> DataFrame:
-    """doc_id, place, hash and slots of the documents' windows that pass the filter."""
+    """doc_id, key of the text, place, hash and slots of the documents' windows that pass the filter."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(bitmap)
     bits = options.filter_bits
@@ -176,12 +180,68 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, widths: list[int], opt
                     text, place, hashes = text[hit], place[hit], hashes[hit]
                     slots = [_slots(t, p, width) for p in place.tolist()]
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(pa.array(text)), pa.array((place - t.ends[text]).astype(np.int64)),
+                        [part.column("doc_id").take(pa.array(text)), part.column("key").take(pa.array(text)),
+                         pa.array((place - t.ends[text]).astype(np.int64)),
                          pa.array(hashes.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
-                        names=["doc_id", "place", "hash", "slots"])
-
-    return docs.select("doc_id", "text").filter("doc_id IS NOT NULL").mapInArrow(
-        cut, "doc_id long, place long, hash long, slots array<string>")
+                        names=["doc_id", "key", "place", "hash", "slots"])
+
+    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").filter("doc_id IS NOT NULL").mapInArrow(
+        cut, "doc_id long, key long, place long, hash long, slots array<string>")
+
+
+@dataclass
+class Alignment:
+    """Item places that a document's windows cover, and what each of the item's values stands for."""
+
+    places: set[int]
+    values: dict[str, str]
+    consistent: bool = True
+
+    def add(self, places: set[int], values: dict[str, str]) -> None:
+        self.places |= places
+        for item, doc in values.items():
+            self.consistent &= self.values.setdefault(item, doc) == doc
+
+    def agrees(self, other: Alignment) -> bool:
+        few, many = sorted((self.values, other.values), key=len)
+        return other.consistent and all(many.get(item, doc) == doc for item, doc in few.items())
+
+    def exact(self) -> bool:
+        return all(item == doc for item, doc in self.values.items())
+
+
+def best_alignment(hits: list[dict], n_windows: int, options: TemplateOptions) -> tuple[int, bool]:
+    """Most item places of a consistent alignment, and whether it holds the item's own values."""
+    by_offset: dict[int, Alignment] = {}
+    pooled = Alignment(set(), {})
+    for hit in hits:
+        values = Alignment(set(), {})
+        for slot in hit["slots"]:
+            values.add(set(), {slot["item"]: slot["doc"]})
+        own = by_offset.setdefault(hit["place"] - hit["at"], Alignment(set(), {}))
+        own.consistent &= values.consistent
+        own.add({hit["at"]}, values.values)
+        pooled.consistent &= own.consistent
+        pooled.add({hit["at"]}, values.values)
+    if pooled.consistent:
+        return len(pooled.places), pooled.exact()
+    verbatim = Alignment(set(), {})
+    for own in by_offset.values():
+        if own.consistent and own.exact():
+            verbatim.add(own.places, own.values)
+    best = (len(verbatim.places), True)
+    for offset, own in by_offset.items():
+        if not own.consistent:
+            continue
+        whole = Alignment(set(own.places), dict(own.values))
+        for distance in range(1, options.shift + 1):
+            for near in (by_offset.get(offset - distance), by_offset.get(offset + distance)):
+                if near and not near.places <= whole.places and whole.agrees(near):
+                    whole.add(near.places, near.values)
+        best = max(best, (len(whole.places), whole.exact()))
+        if best == (n_windows, True):
+            break
+    return best
 
 
 def contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
@@ -195,18 +255,27 @@ def contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = T
     widths = sorted(r[0] for r in cut.select("width").distinct().collect())  # at most options.width numbers
     found = document_windows(docs, _filter(cut, options.filter_bits), widths, options)
     items_ = cut.select("item_id", "item_no", "at", "hash", F.col("slots").alias("item_slots"))
-    # One row for each document and item place: a repeated passage adds nothing.
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))  # (item, doc)
     hits = found.join(items_, "hash").filter(F.size("slots") == F.size("item_slots")).select(
-        "doc_id", "item_id", "item_no", "at", pairs.alias("slots"))
-    marked = hits.groupBy("doc_id", "item_id", "item_no").agg(
-        F.collect_set("at").alias("places"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    judged = marked.join(sizes, "item_no").withColumn("n_matched", F.size("places"))
-    consistent = F.size(F.array_distinct(F.expr("transform(slots, s -> s.item)"))) == F.size("slots")
-    return judged.filter(consistent & (F.col("n_matched") >= options.coverage * F.col("n_windows"))).select(
-        "doc_id", "item_id", F.col("n_matched").cast("long").alias("n_matched"), "n_windows",
-        (F.col("n_matched") / F.col("n_windows")).alias("coverage"),
-        F.expr("forall(slots, s -> s.item = s.doc)").alias("exact"))
+        "doc_id", "key", "item_id", "item_no", F.struct("at", "place", pairs.alias("slots")).alias("hit"))
+    # A text's windows that match one item: as many as the text is long.
+    marked = hits.groupBy("doc_id", "key", "item_id", "item_no").agg(F.collect_set("hit").alias("hits")).join(sizes, "item_no")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes_ = batch.column("n_windows").to_pylist()
+            judged = [best_alignment(batch.column("hits")[k].as_py(), n, options) for k, n in enumerate(sizes_)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "item_id", "item_no", "n_windows")),
+                 pa.array([n for n, _ in judged], pa.int64()), pa.array([exact for _, exact in judged], pa.bool_())],
+                names=["doc_id", "item_id", "item_no", "n_windows", "n_matched", "exact"])
+
+    judged = marked.select("doc_id", "item_id", "item_no", "n_windows", "hits").mapInArrow(
+        judge, "doc_id long, item_id long, item_no long, n_windows long, n_matched long, exact boolean")
+    best = judged.filter(F.col("n_matched") >= options.coverage * F.col("n_windows")).groupBy(
+        "doc_id", "item_id", "item_no").agg(F.max(F.struct("n_matched", "n_windows", "exact")).alias("best"))
+    return best.select("doc_id", "item_id", "best.n_matched", "best.n_windows",
+                       (F.col("best.n_matched") / F.col("best.n_windows")).alias("coverage"), "best.exact")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
