@@ -330,3 +330,54 @@ def test_license_base_places_equal_brute_force(spark, corpus):
     assert by_id[501].labels == "gpl,gpl-3.0" and by_id[502].labels == "apache,apache-2.0"
     assert by_id[503].n_detections == 3999 and by_id[503].n_base == 2000
     assert 240 < len(licenses.signature_rules())
+
+
+def matching_texts(pattern):
+    """A text for each way through a pattern's groups and classes, with and without what is optional."""
+    parser = re._parser
+
+    def ways(part):
+        texts = [""]
+        for op, arg in part:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(arg)]
+            elif name == "IN":
+                more = [chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])] + [
+                    chr(x[1] if str(x[0]) == "LITERAL" else x[1][1]) for x in arg[-1:]]
+            elif name == "BRANCH":
+                more = [t for branch in arg[1] for t in ways(branch)]
+            elif name == "SUBPATTERN":
+                more = ways(arg[3])
+            else:
+                assert name == "MAX_REPEAT", name
+                more = [t * n for n in {arg[0], min(arg[1], max(1, arg[0]))} for t in ways(arg[2])]
+            texts = [a + b for a in texts for b in dict.fromkeys(more)]
+        return texts
+
+    return ways(parser.parse(pattern))
+
+
+def test_gates_and_keywords_are_in_every_match(spark):
+    rules = licenses.signature_rules()
+    gates = licenses.gate_words(rules)
+    examples = []
+    for k, rule in enumerate(rules):
+        texts = matching_texts(rule.pattern)
+        for text in texts:
+            assert re.fullmatch(rule.pattern, text) and rule.keyword in text, (rule, text)
+            assert any(g in text for g in gates), (rule, text)
+        # The text that is likeliest to have no gate word.
+        examples.append(min(texts, key=lambda t: (sum(t.count(g) for g in gates), len(t), t)))
+    rows = [(k, f"so it is {t} here", "s") for k, t in enumerate(examples)]
+    rows += [(1000 + k, f"licensing permission and warranty so it is {t} here", "s") for k, t in enumerate(examples)]
+    found = {r.doc_id: (r.labels, r.score, r.n_detections) for r in licenses.scan_licenses(documents(spark, rows)).collect()}
+    assert all(found[k] == found[1000 + k] and found[k][2] > 0 for k in range(len(rules)))
+
+
+def test_rules_of_ones_own_need_no_gate_word(spark):
+    rules = [licenses.SignatureRule("own", "house rules", "the house rules", 10, 0.5)]
+    rows = [(1, "This code is distributed under BSD.", "s"), (2, "released under ISC", "s"), (3, "Here the house rules apply", "s")]
+    docs = documents(spark, rows)
+    assert {r.doc_id: r.labels for r in licenses.scan_licenses(docs).collect()} == {1: "bsd", 2: "isc", 3: ""}
+    assert {r.doc_id: r.labels for r in licenses.scan_licenses(docs, rules).collect()} == {1: "", 2: "", 3: "own"}

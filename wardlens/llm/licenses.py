@@ -2,7 +2,8 @@
 
 A text becomes its words, lower-cased and joined by single spaces; rules are regular expressions
 over whole words. A rule runs only on texts that contain its keyword, and all of them only on texts
-that contain a gate word. A detection is an interval of words; it is suppressed if another one
+that contain a gate word; the gate is made from the rules, each of which names words that all its
+matches have. A detection is an interval of words; it is suppressed if another one
 contains it, where equal intervals go to the rule of higher priority. Detections are found, sorted
 and folded inside a document's row, in time proportional to their number; nothing is shuffled.
 DataFrame functions only.
@@ -14,6 +15,8 @@ as they occur; overlapping detections of which none contains another are all kep
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +26,7 @@ from wardlens.llm.common import ascii_lower
 #: Phrases that always count, and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Every rule's texts hold one of these.
-GATES = ("licens", "licenc", "copyright", "public domain", "spdx", "redistribut", "permission", "copyleft",
-         "creative commons", "all rights reserved", "warrant", "cc ")
+LICENSE = ("licens", "licenc")
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,7 @@ class SignatureRule:
     pattern: str    # over words joined by single spaces
     priority: int   # of two equal intervals the higher one stays
     weight: float   # how sure a match is
+    gates: tuple[str, ...] = ()  # plain texts of which every match has one; the keyword if there are none
 
 
 #: label, keyword, pattern of the name.
@@ -78,7 +80,7 @@ NAMES = (
     ("ms-pl", "microsoft", "(?:the )?microsoft public"),
     ("ms-rl", "microsoft", "(?:the )?microsoft reciprocal"),
     ("sil-ofl", "open font", "(?:the )?(?:sil )?open font"),
-    ("odbl", "open database", "(?:the )?open (?:data commons )?(?:open )?database"),
+    ("odbl", "database", "(?:the )?open (?:data commons )?(?:open )?database"),
     ("sspl", "server side", "(?:the )?server side public"),
     ("busl", "business source", "(?:the )?business source"),
     ("elastic", "elastic", "(?:the )?elastic"),
@@ -97,14 +99,15 @@ NAMES = (
     ("cc-by-nc-nd", "cc by nc nd", "(?:the )?cc by nc nd(?: [1-4](?: [05])?)?"),
     ("cc0", "cc0", "(?:the )?cc0(?: 1 0)?"),
 )
-#: How a name is used: pattern around it, priority, weight.
+#: How a name is used: pattern around it, priority, weight, gates.
 USES = (
-    ("{name} licen[sc]es?", 20, 0.7),
+    ("{name} licen[sc]es?", 20, 0.7, LICENSE),
     ("(?:licensed|released|distributed|published|available|provided|covered) under (?:the terms of )?{name}"
-     "(?: licen[sc]e)?", 40, 0.95),
-    ("licen[sc]e {name}", 30, 0.8),
-    ("spdx license identifier {name}", 50, 1.0),
-    ("governed by {name}(?: licen[sc]e)?", 35, 0.9),
+     "(?: licen[sc]e)?", 40, 0.95, ("licens", "released under", "distributed under", "published under",
+                                    "available under", "provided under", "covered under")),
+    ("licen[sc]e {name}", 30, 0.8, LICENSE),
+    ("spdx license identifier {name}", 50, 1.0, LICENSE),
+    ("governed by {name}(?: licen[sc]e)?", 35, 0.9, ("governed by",)),
 )
 #: label, keyword, pattern, priority, weight of texts that state terms without the license's name.
 TEXTS = (
@@ -114,7 +117,7 @@ TEXTS = (
     ("bsd-3-clause", "endorse or promote", "may be used to endorse or promote products derived from", 30, 0.8),
     ("gpl", "free software", "this program is free software you can redistribute it and or modify it", 45, 0.95),
     ("lgpl", "free software", "this library is free software you can redistribute it and or modify it", 45, 0.95),
-    ("zlib", "as is", "this software is provided as is without any express or implied warranty", 20, 0.6),
+    ("zlib", "as is", "this software is provided as is without any express or implied warranty", 20, 0.6, ("warrant",)),
     ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain", 45, 0.95),
     ("public-domain", "public domain", "(?:in|into|to) the public domain", 25, 0.7),
     ("public-domain", "public domain", "dedicated to the public domain", 30, 0.85),
@@ -133,13 +136,19 @@ TEXTS = (
 
 def signature_rules() -> list[SignatureRule]:
     """All rules; order settles what priorities leave open."""
-    rules = [SignatureRule(label, keyword, use.format(name=name), priority, weight)
-             for label, keyword, name in NAMES for use, priority, weight in USES]
+    rules = [SignatureRule(label, keyword, use.format(name=name), priority, weight, gates)
+             for label, keyword, name in NAMES for use, priority, weight, gates in USES]
     # Names with a version say enough by themselves.
-    rules += [SignatureRule(label, keyword, name, 25, 0.75) for label, keyword, name in NAMES if " license" in name]
+    rules += [SignatureRule(label, keyword, name, 25, 0.75, LICENSE) for label, keyword, name in NAMES if " license" in name]
     return rules + [SignatureRule(*text) for text in TEXTS]
 
 
+def gate_words(rules: list[SignatureRule]) -> list[str]:
+    """Plain texts of which every text with a match has one; none contains another."""
+    words = {phrase for phrase, _ in BASE}.union(*(rule.gates or (rule.keyword,) for rule in rules))
+    return sorted(w for w in words if not any(v != w and v in w for v in words))
+
+
 def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
@@ -166,7 +175,7 @@ def scan_licenses(docs: DataFrame, rules: list[SignatureRule] | None = None) ->
     lowered = lowered.withColumn("w", F.concat(F.lit(" "), F.trim("w"), F.lit(" ")))
     n_words = F.when(F.col("w") == "  ", 0).otherwise(_spaces(F.col("w")) - 1).cast("long")
     found = lowered.select("doc_id", n_words.alias("n_words"), F.when(
-        F.expr(" OR ".join(f"contains(w, '{g}')" for g in GATES)), F.col("w")).alias("w"))
+        reduce(or_, [F.contains("w", F.lit(g)) for g in gate_words(rules)]), F.col("w")).alias("w"))
     counts, firsts, lasts, labels = [], [], [], []
     for phrase, label in BASE:
         n = F.when(F.contains("w", F.lit(f" {phrase} ")), F.regexp_count("w", F.lit(f" {phrase}(?= )"))).otherwise(0)
