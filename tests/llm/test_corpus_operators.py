@@ -240,6 +240,30 @@ def test_classifiers_learn_and_cover_odd_texts(spark):
     assert toxicity.classify_toxicity(documents(spark, []), labels).count() == 0
 
 
+def test_a_capped_sample_decides_like_all_labels(spark):
+    rng = np.random.default_rng(5)
+    words = np.array([f"{a}{b}{c}" for a in ("ka", "lo", "mi", "ne") for b in ("ru", "sa", "te", "vo") for c in "xyz"])
+    texts = []
+    for k in range(3000):
+        bad = int(rng.random() < 0.1)
+        w = list(rng.choice(words, 6))
+        if rng.random() < (0.75 if bad else 0.05):  # words that tell something, but not all
+            w[2] = "grumpf"
+        texts.append((" ".join(w), bad))
+    texts += [("", 0), ("qqq", 0), ("grumpf", 0)]
+    docs = documents(spark, [(k, t, "s") for k, (t, _) in enumerate(texts)])
+    labels = spark.createDataFrame([(k, y) for k, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    whole, capped = ({r.doc_id: r for r in toxicity.classify_toxicity(docs, labels, toxicity.NgramOptions(per_class=n)).collect()}
+                     for n in (10_000, 200))
+    same = np.mean([whole[k].predicted == capped[k].predicted for k in whole])
+    assert same > 0.97
+    # Texts without a known n-gram are scored by the bias alone.
+    z = [np.log(r[3000].score / (1 - r[3000].score)) for r in (whole, capped)]
+    assert abs(z[0] - z[1]) < 0.5
+    mean = [np.mean([r.score for r in rows.values()]) for rows in (whole, capped)]
+    assert abs(mean[0] - mean[1]) < 0.03
+
+
 # ---- op 6 ----
 
 def test_rules_and_trust(spark):

@@ -2,7 +2,8 @@
 
 Features are the character n-grams of words with their borders, present in a text or not, known by a
 64-bit hash. The model is fitted on a bounded sample of labelled rows: at most ``per_class`` of each
-label, those with the least hashes. Each n-gram gets the log ratio of its shares in both classes;
+label, those with the least hashes. Where a label has more, the sample's rows are weighted so that
+both labels have their shares of all training labels. Each n-gram gets the log ratio of its shares in both classes;
 those that tell classes apart are kept, scaled by that ratio and weighted by logistic regression.
 Scoring looks up the n-grams of each distinct word once and covers whole texts.
 
@@ -99,11 +100,26 @@ def _present(texts: pa.Array, options: NgramOptions, features: np.ndarray | None
     return text[new], gram[new]
 
 
-def fit_weights(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, features: np.ndarray,
-                scale: np.ndarray, options: NgramOptions) -> LinearModel:
-    """Logistic regression over (row, feature) pairs, each with its feature's log-count ratio."""
+def class_weights(sampled: tuple[float, float], all_labels: tuple[float, float]) -> tuple[float, float]:
+    """Weights of a sample's rows of labels 0 and 1 that restore the shares of all labels.
+
+    They sum to the rows sampled, and are 1 where the sample has the shares already.
+    """
+    if not min(sampled) or not min(all_labels):
+        return 1.0, 1.0
+    total = sum(sampled) / sum(all_labels)
+    return all_labels[0] / sampled[0] * total, all_labels[1] / sampled[1] * total
+
+
+def fit_weights(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, features: np.ndarray, scale: np.ndarray,
+                options: NgramOptions, weight: tuple[float, float] = (1.0, 1.0)) -> LinearModel:
+    """Logistic regression over (row, feature) pairs, each with its feature's log-count ratio.
+
+    ``weight`` holds the weights of rows with label 0 and 1.
+    """
     positives, total = int(labels.sum()), len(labels)
-    share = positives / total if total else 0.0
+    share = positives * weight[1] / (positives * weight[1] + (total - positives) * weight[0]) if total else 0.0
+    each = np.where(labels > 0, weight[1], weight[0])
     if positives in (0, total):
         return LinearModel(np.empty(0, np.uint64), np.empty(0), _logit(share), options)
     values = scale[columns]
@@ -111,7 +127,7 @@ def fit_weights(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, featu
     m, v = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
     for step in range(1, options.steps + 1):
         z = np.bincount(rows, weights=values * weights[columns], minlength=total) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) / total
+        error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * each / total
         slope = np.append(np.bincount(columns, weights=values * error[rows], minlength=len(features))
                           + options.decay * weights, error.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
@@ -134,15 +150,19 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def training_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, label) of all documents with a label that aren't held out."""
+    return (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+            .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """(label, text) of at most ``per_class`` labelled documents of each class.
 
     Rows are chosen by the hash of their id from the narrow label table, so the chosen ids are few
     by construction and may be broadcast.
     """
-    clean = (labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
-    clean = clean.withColumn("h", F.xxhash64("doc_id"))
+    clean = training_labels(labels, label).withColumn("h", F.xxhash64("doc_id"))
     chosen = None
     for value in (0, 1):
         part = clean.filter(F.col("label") == value).orderBy("h", "doc_id").limit(per_class)
@@ -175,10 +195,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, options: NgramOptions = Ngr
 
     held = materialize(sample.mapInArrow(present, "doc_id long, label int, grams binary"), "toxicity-sample")
     positives, total = held.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
-    share, a = positives / max(1, total), options.smoothing
     if positives in (0, total):
-        return LinearModel(np.empty(0, np.uint64), np.empty(0), _logit(share), options)
-    ratio = F.log((F.col("pos") + a * share) / (F.col("n") - F.col("pos") + a * (1 - share))) - float(np.log(share / (1 - share)))
+        return LinearModel(np.empty(0, np.uint64), np.empty(0), _logit(positives / max(1, total)), options)
+    # A label that was sampled in part stands for all its labels, however many rows it has here.
+    ones, every = training_labels(labels, "toxic").agg(F.sum("label"), F.count("*")).first()
+    counts = every - ones, ones
+    weight = class_weights(tuple(min(n, options.per_class) for n in counts), counts)
+    low, high = (total - positives) * weight[0], positives * weight[1]
+    share, a = high / (low + high), options.smoothing
+    ratio = F.log((F.col("pos") * weight[1] + a * share) / ((F.col("n") - F.col("pos")) * weight[0] + a * (1 - share))
+                  ) - float(np.log(share / (1 - share)))
     counted = held.mapInArrow(count, "gram long, pos double, n long").groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     chosen = (counted.withColumn("ratio", ratio).filter((F.abs("ratio") >= options.min_ratio) & (F.col("n") >= options.min_texts))
               .orderBy((F.abs("ratio") * F.log1p("n")).desc(), "gram").limit(options.max_features)
@@ -198,7 +224,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, options: NgramOptions = Ngr
     gathered = held.mapInArrow(place, "doc_id long, label int, places binary").toArrow().sort_by("doc_id")
     places = [np.frombuffer(b, "<i4") for b in gathered.column("places").to_pylist()]
     rows = np.repeat(np.arange(len(places)), [len(p) for p in places])
-    return fit_weights(rows, np.concatenate(places), gathered.column("label").to_numpy().astype(float), features, scale, options)
+    return fit_weights(rows, np.concatenate(places), gathered.column("label").to_numpy().astype(float), features, scale, options,
+                       weight)
 
 
 def score_toxicity(docs: DataFrame, model: LinearModel) -> DataFrame:
