@@ -199,6 +199,17 @@ def test_main_text(page, text):
     assert html_text.extract_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_ratios_choose_beside_articles(tag):
+    real = [f"This is paragraph {k} of the real text, which is long and stands in a plain element." for k in range(6)]
+    links = "".join(f'<p><a href="/{k}">x</a> <i>y</i></p>' for k in range(12))
+    body = "".join(f"<p>{p}</p>" for p in real)
+    teaser = f'<{tag}><p><a href="/"><b>More</b></a> <i>now</i></p></{tag}>'
+    assert html_text.extract_text(f"<body>{teaser}<div>{links}</div><div>{body}</div></body>") == "\n".join(real)
+    # A poor region is not lifted by the article next to it.
+    assert html_text.extract_text(f"<body><{tag}>{body}</{tag}><div>{links}</div></body>") == "\n".join(real)
+
+
 def test_pages_keep_rows(spark):
     rows = [(1, "u", "<article><p>a</article>"), (1, "u", "<article><p>a</article>"), (2, None, None)]
     found = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()

@@ -5,7 +5,8 @@ has a ratio of text to tags; ratios are smoothed with a Gaussian along the page
 threshold between two clusters. Lines that stand in menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles or comment sections never count as content. A content region is
 the nearest enclosing ``article`` or ``main`` element, else the nearest section-like element; the regions with lines
-above the threshold are kept whole, so that short paragraphs inside them stay.
+above the threshold are kept whole, so that short paragraphs inside them stay. Articles only break ties:
+beside a chosen one, a region counts by lines of its own ratio, not by smoothed ones of its neighbours.
 
 Special cases: a null, empty or tagless html gives its text or an empty one; unclosed and
 misnested elements are closed with their parents; repeated pages are extracted as often as they
@@ -181,11 +182,12 @@ def extract_text(html: str | None) -> str:
         return ""
     ratios = np.array([len(text) / tags for text, tags, _ in lines], float)
     regions = np.array([region for _, _, region in lines])
-    smooth = _smooth(np.log1p(ratios))
-    high = smooth >= _threshold(smooth)
-    chosen = set(regions[high].tolist())
-    # Where a page marks its articles, text around them is no content.
-    chosen = parser.articles.intersection(regions.tolist()) or chosen
+    single = np.log1p(ratios)
+    smooth = _smooth(single)
+    threshold = _threshold(smooth)
+    chosen = set(regions[smooth >= threshold].tolist())
+    if marked := parser.articles & chosen:
+        chosen = marked | chosen.intersection(regions[single >= threshold].tolist())
 
     def inside(region: int) -> bool:
         while region >= 0:
