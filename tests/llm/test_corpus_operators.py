@@ -210,6 +210,20 @@ def test_ratios_choose_beside_articles(tag):
     assert html_text.extract_text(f"<body><{tag}>{body}</{tag}><div>{links}</div></body>") == "\n".join(real)
 
 
+def test_ids_and_word_parts_drop_no_article_text():
+    parts = ['<h2 id="search">Search</h2>', '<section id="related-work"><h2 id="related">Related work</h2><p>Others did it.</p></section>',
+             '<p class="share-price">The price rose.</p>', '<div class="side-by-side">Two views.</div>', '<p class="skip-lists">Lists of lists.</p>',
+             '<h2 id="legal-status">Legal status</h2>', '<section id="comments-on-method">A word on it.</section>',
+             '<pre>x = 1 <span class="comment"># one</span></pre>', "<p>Then <math><mi>a</mi><mo>=</mo><mn>1</mn></math> holds.</p>"]
+    text = "Search\nRelated work\nOthers did it.\nThe price rose.\nTwo views.\nLists of lists.\nLegal status\nA word on it.\nx = 1 # one\nThen a=1 holds."
+    dropped = '<div class="related">no</div><p class="ad">no</p><ul class="share">no</ul><div role="search">no</div>'
+    assert html_text.extract_text(f"<article>{''.join(parts)}{dropped}</article>") == text
+    long = "<p>This is a paragraph of the real text, long enough to count as that by its ratio.</p>" * 3
+    found = html_text.extract_text(f'<div id=content>{long}<h2 id="related-work">Work</h2>{long}</div><div class="site-nav">no</div>'
+                                   '<div id="sidebar">no</div><div class="cookie-consent">no</div>')
+    assert "Work" in found.split("\n") and "no" not in found.split("\n")
+
+
 def test_pages_keep_rows(spark):
     rows = [(1, "u", "<article><p>a</article>"), (1, "u", "<article><p>a</article>"), (2, None, None)]
     found = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()

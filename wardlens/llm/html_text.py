@@ -33,13 +33,20 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
     section summary table tbody td tfoot th thead title tr ul""".split())
 #: Elements that never hold content.
 SKIPPED = frozenset("""head title script style noscript template nav header footer aside form iframe object svg canvas
-    button select textarea dialog menu map audio video math datalist""".split())
-#: Words of class, id or role that mark what isn't content.
+    button select textarea dialog menu map audio video datalist""".split())
+#: Whole tokens of class or role that mark what isn't content; outside articles, on containers, ids and
+#: compounds of nothing but marks and fillers too.
 MARKS = frozenset("""ad ads advert advertisement advertising banner sponsor sponsored promo promotion nav navbar
     navigation menu sidebar side breadcrumb breadcrumbs header masthead footer cookie cookies consent notice notification
     alert popup modal overlay newsletter subscribe signup login comment comments disqus reply replies respond share
     sharing social related recommended widget toolbar pagination pager copyright legal disclaimer skip search
     complementary contentinfo dialog""".split())
+#: Marks that text itself may have; inside articles they count on containers only.
+AMBIGUOUS = frozenset("""side share header legal related recommended comment comments reply replies respond search skip notice
+    notification alert copyright disclaimer menu promotion banner dialog""".split())
+CONTAINERS = frozenset("div section ul ol dl table fieldset details".split())
+FILLERS = frozenset("""site main page top bottom left right bar box container wrapper wrap inner outer block area list links
+    items section content buttons global primary secondary""".split())
 REGIONS = frozenset("article main".split())
 SECTIONS = frozenset("body section div table".split())
 #: A start tag of the first kind ends an open element of the second.
@@ -92,7 +99,7 @@ class _Lines(HTMLParser):
                 self.end_open(tag, SIBLINGS[tag])
         _, region, kind = self.stack[-1]
         if region >= 0:
-            if tag in SKIPPED or attrs and self.marked(tag, attrs):
+            if tag in SKIPPED or attrs and self.marked(tag, attrs, kind == 2):
                 self.cut()
                 region = -1
             elif tag in REGIONS and kind < 2:
@@ -115,11 +122,24 @@ class _Lines(HTMLParser):
         return len(self.parents) - 1
 
     @staticmethod
-    def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def marked(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
+        """Whether an element, inside an article or not, never holds content."""
         if tag in ("html", "body", "article", "main"):
             return False
-        return any(name in ("hidden",) or name in ("class", "id", "role") and value
-                   and not MARKS.isdisjoint(WORDS.findall(value.lower())) for name, value in attrs)
+        container = tag in CONTAINERS
+        for name, value in attrs:
+            if name == "hidden":
+                return True
+            if not value or name not in ("class", "id", "role") or name == "id" and (inside or not container):
+                continue
+            for token in value.lower().split():
+                if token in MARKS and (container or not inside or token not in AMBIGUOUS):
+                    return True
+                if container and not inside:
+                    words = set(WORDS.findall(token))
+                    if not words.isdisjoint(MARKS) and words <= MARKS | FILLERS:
+                        return True
+        return False
 
     def end_open(self, tag: str, ends: tuple[str, ...]) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
