@@ -362,6 +362,16 @@ def test_templates_find_a_copy_beside_variants(spark):
     assert [r.doc_id for r in kept] == [3]
 
 
+def test_short_items_and_copies_after_any_word_are_found(spark):
+    items = spark.createDataFrame([(1, "What is the capital of France?"), (2, "Solve for x"), (3, "Tom buys 12 pens and sells 5 pens"),
+                                   (4, "1 2 3 4 5 6 7 8 9 10"), (5, "?"), (6, "")], "item_id long, text string")
+    rows = [(1, "Question 5\nWhat is the capital of France?", "s"), (2, "Question what IS the capital of France", "s"),
+            (3, "Now solve for x.", "s"), (4, "Problem 7\nTom buys 30 pens and sells 8 pens", "s"), (5, "0 1 2 3 4 5 6 7 8 9 10 11", "s"),
+            (6, "What was the capital of France ? Solve it for y and 10 9 8 7 6 5 4 3 2 1", "s")]
+    found = {(r.doc_id, r.item_id): r.exact for r in decontaminate.contaminated(documents(spark, rows), items).collect()}
+    assert found == {(1, 1): True, (2, 1): True, (3, 2): True, (4, 3): False, (5, 4): True}
+
+
 # ---- op 10 ----
 
 def test_license_base_places_equal_brute_force(spark, corpus):

@@ -131,8 +131,8 @@ def word_hashes(words: pa.Array) -> np.ndarray:
                        np.uint64, len(words))
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of ``width`` consecutive values; position i covers i .. i + width - 1."""
+def window_sums(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Sum of each run of ``width`` consecutive values, the first as it is, the others by factors."""
     count = len(hashes) - width + 1
     if count <= 0:
         return np.empty(0, np.uint64)
@@ -140,7 +140,12 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     for k in range(width):
         out += hashes[k:k + count] * np.uint64(factor)
         factor = factor * 0x9E3779B97F4A7C15 % 2**64
-    return mix64(out)
+    return out
+
+
+def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of ``width`` consecutive values; position i covers i .. i + width - 1."""
+    return mix64(window_sums(hashes, width))
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:

@@ -6,6 +6,8 @@ words inside a sentence), else their lower-cased core without punctuation at eit
 hash; so a question with other numbers or names still matches. A match counts only if its slots are
 consistent: each value in the item stands for one value in the document. This is judged by alignment
 (place in the document less place in the item), so that a copy is found beside variants of itself.
+Windows of the words themselves are matched beside those of templates, so that no verbatim copy depends
+on what is taken for a name, and a document's window may begin a sentence at any name.
 
 Documents are read once. A filter of fixed size, made from the item windows and checked in place,
 drops windows that can't match before anything is shuffled; the join after it is exact, whatever the
@@ -14,8 +16,9 @@ size of the benchmark. A document is reported for an item if the windows of one
 insertions), or all windows found in the document do and are consistent, or all verbatim ones do.
 
 Special cases: null and empty texts have no windows; items with fewer than ``width`` words have one
-window of their own length, those with fewer than ``least_words`` none, and windows with fewer than
-``least_literals`` words that are no placeholders count nowhere; of rows that share a
+window of their own length, those with fewer than ``least_words`` one of the words themselves only; template
+windows with fewer than ``least_literals`` words that are no placeholders and windows of words without a
+letter or digit count nowhere; of rows that share a
 ``doc_id`` each text is judged by itself and the best reported, those without one not at all;
 repeated items are reported each.
 """
@@ -31,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import mix64, ship_package, slices, split_words, window_hashes, word_hashes
+from wardlens.llm.common import mix64, ship_package, slices, split_words, window_sums, word_hashes
 from wardlens.session import materialize
 
 #: Words that are units after a number, and numbers that are words.
@@ -65,6 +68,8 @@ class Templates:
     """Template words of several texts in a row."""
 
     hashes: np.ndarray    # of template words; placeholders have the hash of their type
+    exact: np.ndarray     # of the words' cores, or of words that have none
+    cored: np.ndarray     # whether a word has a core
     kinds: np.ndarray     # 0 literal, else a placeholder's code
     ends: np.ndarray
     codes: np.ndarray
@@ -94,30 +99,45 @@ def templates(texts: pa.Array) -> Templates:
         after[1:] = number[codes][:-1]
         kinds[unit[codes] & after & (kinds != NUMBER_CODE)] = UNIT_CODE
     tokens = np.where(kinds > 0, mix64(kinds.astype(np.uint64)), hashes[codes] if count else np.empty(0, np.uint64))
-    return Templates(tokens, kinds, ends, codes, cores)
+    bald = pc.equal(cores, "")
+    exact, cored = word_hashes(pc.if_else(bald, words, cores)), ~flag(bald)
+    own = lambda values, kind: values[codes] if count else np.empty(0, kind)
+    return Templates(tokens, own(exact, np.uint64), own(cored, bool), kinds, ends, codes, cores)
 
 
-def windows(t: Templates, width: int, options: TemplateOptions) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place in all words, hash) of all windows with enough literal words."""
-    hashes = window_hashes(t.hashes, width)
+#: Readings of a window: its template, the template with a name in front read as a word, its words.
+TEMPLATE, OPENED, EXACT = 0, 1, 2
+
+
+def windows(t: Templates, width: int, options: TemplateOptions, reading: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place in all words, hash) of all windows that count, in one reading."""
+    hashes = window_sums(t.exact if reading == EXACT else t.hashes, width)
     if not len(hashes):
         return np.empty(0, np.int64), np.empty(0, np.int64), hashes
-    place = np.arange(len(hashes))
+    count = len(hashes)
+    place = np.arange(count)
     text = np.searchsorted(t.ends, place, "right") - 1
-    literal = np.concatenate([[0], np.cumsum(t.kinds == 0)])
-    least = min(options.least_literals, width)
-    good = (place + width <= t.ends[text + 1]) & (literal[width:][:len(hashes)] - literal[:len(hashes)] >= least)
-    return text[good], place[good], mix64(hashes[good] + np.uint64(width))
-
-
-def _slots(t: Templates, place: int, width: int) -> list[str]:
-    if not t.kinds[place:place + width].any():
+    good = place + width <= t.ends[text + 1]
+    literal = np.concatenate([[0], np.cumsum(t.cored if reading == EXACT else t.kinds == 0)])
+    literal = literal[width:][:count] - literal[:count]
+    if reading == OPENED:
+        hashes += t.exact[:count] - t.hashes[:count]
+        literal = literal + 1
+        good &= t.kinds[:count] == NAME_CODE
+    good &= literal >= (1 if reading == EXACT else min(options.least_literals, width))
+    salt = np.uint64(width + (1 << 32) * (reading == EXACT))
+    return text[good], place[good], mix64(mix64(hashes[good]) + salt)
+
+
+def _slots(t: Templates, place: int, width: int, reading: int = TEMPLATE) -> list[str]:
+    first = place + (reading == OPENED)
+    if not t.kinds[first:place + width].any():
         return []
-    return [t.cores[int(t.codes[k])].as_py() for k in range(place, place + width) if t.kinds[k]]
+    return [t.cores[int(t.codes[k])].as_py() for k in range(first, place + width) if t.kinds[k]]
 
 
 def item_windows(items: DataFrame, options: TemplateOptions) -> DataFrame:
-    """item_id, item_no, at, n_windows, width, hash, slots of the benchmark's windows."""
+    """item_id, item_no, at, exact, width, hash, slots of the benchmark's windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,21 +146,21 @@ def item_windows(items: DataFrame, options: TemplateOptions) -> DataFrame:
                 sizes = np.diff(t.ends)
                 rows: list[tuple] = []
                 for width in np.unique(np.minimum(sizes, options.width)).tolist():
-                    if width < min(options.least_words, options.width):
-                        continue
-                    text, place, hashes = windows(t, width, options)
-                    own = np.minimum(sizes[text], options.width) == width
-                    for k, p, h in zip(text[own].tolist(), place[own].tolist(), hashes[own].view(np.int64).tolist()):
-                        rows.append((part.column("item_id")[k].as_py(), part.column("item_no")[k].as_py(),
-                                     p - int(t.ends[k]), width, h, _slots(t, p, width)))
+                    readings = (EXACT,) if width < min(options.least_words, options.width) else (TEMPLATE, EXACT)
+                    for reading in readings if width else ():
+                        text, place, hashes = windows(t, width, options, reading)
+                        own = np.minimum(sizes[text], options.width) == width
+                        for k, p, h in zip(text[own].tolist(), place[own].tolist(), hashes[own].view(np.int64).tolist()):
+                            rows.append((part.column("item_id")[k].as_py(), part.column("item_no")[k].as_py(),
+                                         p - int(t.ends[k]), reading == EXACT, width, h, _slots(t, p, width)))
                 yield pa.RecordBatch.from_pylist(
-                    [dict(zip(("item_id", "item_no", "at", "width", "hash", "slots"), r)) for r in rows],
-                    pa.schema([("item_id", pa.int64()), ("item_no", pa.int64()), ("at", pa.int32()), ("width", pa.int32()),
+                    [dict(zip(("item_id", "item_no", "at", "exact", "width", "hash", "slots"), r)) for r in rows],
+                    pa.schema([("item_id", pa.int64()), ("item_no", pa.int64()), ("at", pa.int32()), ("exact", pa.bool_()), ("width", pa.int32()),
                                ("hash", pa.int64()), ("slots", pa.list_(pa.string()))]))
 
     numbered = items.select("item_id", "text").withColumn("item_no", F.monotonically_increasing_id())
     return numbered.mapInArrow(
-        cut, "item_id long, item_no long, at int, width int, hash long, slots array<string>")
+        cut, "item_id long, item_no long, at int, exact boolean, width int, hash long, slots array<string>")
 
 
 def _filter(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -173,12 +193,13 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, widths: list[int], opt
         for batch in batches:
             for part in slices(batch, "text"):
                 t = templates(part.column("text"))
-                for width in widths:
-                    text, place, hashes = windows(t, width, options)
+                for width, reading in ((w, r) for w in widths for r in (TEMPLATE, OPENED, EXACT)):
+                    text, place, hashes = windows(t, width, options, reading)
                     low = hashes & np.uint64((1 << bits) - 1)
                     hit = (known[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1 == 1
                     text, place, hashes = text[hit], place[hit], hashes[hit]
-                    slots = [_slots(t, p, width) for p in place.tolist()]
+                    # Equal words need no slots of their own.
+                    slots = [None if reading == EXACT else _slots(t, p, width, reading) for p in place.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [part.column("doc_id").take(pa.array(text)), part.column("key").take(pa.array(text)),
                          pa.array((place - t.ends[text]).astype(np.int64)),
@@ -244,6 +265,22 @@ def best_alignment(hits: list[dict], n_windows: int, options: TemplateOptions) -
     return best
 
 
+def judge_item(hits: list[dict], template_places: set[int], n_exact: int,
+               options: TemplateOptions) -> tuple[int, int, bool]:
+    """Matched windows, windows and exactness: of the item's templates or, if too few match, of its words."""
+    n = len(template_places)
+    matched, exact = best_alignment([hit for hit in hits if hit["at"] in template_places], n, options)
+    if n and matched >= options.coverage * n:
+        return matched, n, exact
+    # Equal words don't count where the templates around them hold other values.
+    values: dict[tuple[int, str], str] = {}
+    split = {hit["place"] - hit["at"] for hit in hits for slot in hit["slots"]
+             if values.setdefault((hit["place"] - hit["at"], slot["item"]), slot["doc"]) != slot["doc"]}
+    words = [hit for hit in hits if hit["exact"] and hit["place"] - hit["at"] not in split]
+    matched, exact = best_alignment(words, n_exact, options)
+    return matched, n_exact, exact
+
+
 def contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
     """doc_id, item_id, n_matched, n_windows, coverage and exact for each leaked item.
 
@@ -251,28 +288,30 @@ def contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = T
     """
     ship_package(docs.sparkSession)
     cut = materialize(item_windows(items, options), "item-windows")
-    sizes = cut.groupBy("item_no").agg(F.count("*").alias("n_windows"))
+    sizes = cut.groupBy("item_no").agg(F.count_if(~F.col("exact")).alias("n_template"), F.count_if("exact").alias("n_exact"),
+                                       F.collect_set(F.when(~F.col("exact"), F.col("at"))).alias("template_places"))
     widths = sorted(r[0] for r in cut.select("width").distinct().collect())  # at most options.width numbers
     found = document_windows(docs, _filter(cut, options.filter_bits), widths, options)
-    items_ = cut.select("item_id", "item_no", "at", "hash", F.col("slots").alias("item_slots"))
+    items_ = cut.select("item_id", "item_no", "at", "hash", "exact", F.col("slots").alias("item_slots"))
+    joined = found.join(items_, "hash").filter(F.col("exact") == F.col("slots").isNull()).withColumn(
+        "slots", F.coalesce("slots", "item_slots")).filter(F.size("slots") == F.size("item_slots"))
     pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))  # (item, doc)
-    hits = found.join(items_, "hash").filter(F.size("slots") == F.size("item_slots")).select(
-        "doc_id", "key", "item_id", "item_no", F.struct("at", "place", pairs.alias("slots")).alias("hit"))
+    hits = joined.select("doc_id", "key", "item_id", "item_no", F.struct("at", "place", "exact", pairs.alias("slots")).alias("hit"))
     # A text's windows that match one item: as many as the text is long.
     marked = hits.groupBy("doc_id", "key", "item_id", "item_no").agg(F.collect_set("hit").alias("hits")).join(sizes, "item_no")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes_ = batch.column("n_windows").to_pylist()
-            judged = [best_alignment(batch.column("hits")[k].as_py(), n, options) for k, n in enumerate(sizes_)]
+            judged = [judge_item(batch.column("hits")[k].as_py(), set(batch.column("template_places")[k].as_py()), n, options)
+                      for k, n in enumerate(batch.column("n_exact").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "item_id", "item_no", "n_windows")),
-                 pa.array([n for n, _ in judged], pa.int64()), pa.array([exact for _, exact in judged], pa.bool_())],
-                names=["doc_id", "item_id", "item_no", "n_windows", "n_matched", "exact"])
+                [*(batch.column(c) for c in ("doc_id", "item_id", "item_no")), *(
+                    pa.array([j[k] for j in judged], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_())))],
+                names=["doc_id", "item_id", "item_no", "n_matched", "n_windows", "exact"])
 
-    judged = marked.select("doc_id", "item_id", "item_no", "n_windows", "hits").mapInArrow(
-        judge, "doc_id long, item_id long, item_no long, n_windows long, n_matched long, exact boolean")
-    best = judged.filter(F.col("n_matched") >= options.coverage * F.col("n_windows")).groupBy(
+    judged = marked.select("doc_id", "item_id", "item_no", "template_places", "n_exact", "hits").mapInArrow(
+        judge, "doc_id long, item_id long, item_no long, n_matched long, n_windows long, exact boolean")
+    best = judged.filter((F.col("n_windows") > 0) & (F.col("n_matched") >= options.coverage * F.col("n_windows"))).groupBy(
         "doc_id", "item_id", "item_no").agg(F.max(F.struct("n_matched", "n_windows", "exact")).alias("best"))
     return best.select("doc_id", "item_id", "best.n_matched", "best.n_windows",
                        (F.col("best.n_matched") / F.col("best.n_windows")).alias("coverage"), "best.exact")
