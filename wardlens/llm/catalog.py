@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardlens.llm import (cotraining, decontaminate, html_text, itq_join, jaccard_join, licenses,
-                          linkgraph, mixing, token_files, toxicity)
+from wardlens.llm import (cotraining, decontaminate, html_text, itq_join, jaccard_join, language, lexical, licenses,
+                          linkgraph, mixing, token_files, toxicity, whitening)
 from wardlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,9 +59,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.classify_languages(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: q for name, q in globals().items() if name.startswith("op") and callable(q)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_ranked_search": lexical.SQL}
