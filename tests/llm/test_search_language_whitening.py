@@ -11,7 +11,7 @@ import pytest
 import zlib
 
 from wardlens.llm import language, lexical, whitening
-from wardlens.llm.common import mix64
+from wardlens.llm.common import mix64, split_words
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -201,8 +201,9 @@ def test_languages_without_training_or_rows(spark, spoken):
 
 def test_texts_in_parts_rank_like_whole_ones(monkeypatch):
     texts = pa.array(["ab cd ab ef " * 50, "xyz", None, "ab " * 9 + "cd ef gh ij kl mn op"])
-    read = lambda: [tuple(map(np.ndarray.tolist, x)) for x in zip(*map(
-        lambda parts: parts, [[np.concatenate(x) for x in zip(*language.ranked_grams(texts, language.ProfileOptions()))]]))]
+    codes, ends, words = split_words(texts)
+    apart = language.WordGrams(words, 5)
+    read = lambda: [np.concatenate(x).tolist() for x in zip(*language.ranked_grams(codes, ends, apart, 1000))]
     whole = read()
     for entries in (1, 7, 60):
         monkeypatch.setattr(language, "ENTRIES", entries)

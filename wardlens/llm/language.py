@@ -55,18 +55,25 @@ class Profiles:
 
 # ---- n-grams ----------------------------------------------------------------------------------
 
-def letter_grams(words: pa.Array, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, n-gram hash) of all n-grams of the words' runs of letters; whether each word has a letter."""
+_CODES = 0x110000  # of characters
+
+
+def letter_grams(words: pa.Array, longest: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """For each length up to ``longest``, (word, n-gram hash) of all n-grams of the words' runs of letters in
+    order of words; whether each word has a letter."""
     chars = np.frombuffer((" " + " ".join(pc.utf8_lower(words).to_pylist()) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
     number = np.cumsum(chars == 32) - 1  # a blank counts for the word after it
-    kinds, place = np.unique(chars, return_inverse=True)
+    seen = np.zeros(_CODES, bool)
+    seen[chars] = True
+    kinds, letters, marks = np.flatnonzero(seen), np.zeros(_CODES, bool), np.zeros(_CODES, bool)
     category = [unicodedata.category(chr(c))[0] for c in kinds.tolist()]
-    letter = np.array([c == "L" for c in category])[place]
-    inside = np.array([c in "LM" for c in category])[place]
+    letters[kinds], marks[kinds] = [c == "L" for c in category], [c == "M" for c in category]
+    letter = letters[chars]
+    inside = letter | marks[chars]
     has_letter = np.bincount(number[letter], minlength=len(words))[:len(words)] > 0
     chars = np.where(inside, chars, 32).astype(np.uint64)
     outside = np.concatenate([[0], np.cumsum(~inside)])
-    owners, hashes, rolling = [], [], np.zeros(len(chars), np.uint64)
+    found, rolling = [], np.zeros(len(chars), np.uint64)
     for n in range(1, longest + 1):
         count = len(chars) - n + 1
         if count <= 0:
@@ -77,9 +84,36 @@ def letter_grams(words: pa.Array, longest: int) -> tuple[np.ndarray, np.ndarray,
             whole = outside[n:n + count] - outside[:count] < n
         else:
             whole = outside[n - 1:n - 1 + count] == outside[1:1 + count]
-        owners.append(number[:count][whole])
-        hashes.append(rolling[whole])
-    return np.concatenate(owners), np.concatenate(hashes), has_letter
+        found.append((number[:count][whole], rolling[whole]))
+    return found, has_letter
+
+
+class WordGrams:
+    """N-grams of distinct words: word k has the numbers ``grams[starts[k]:starts[k] + sizes[k]]``.
+
+    Numbers point into ``names``, the distinct hashes in order.
+    """
+
+    def __init__(self, words: pa.Array, longest: int) -> None:
+        found, self.has_letter = letter_grams(words, longest)
+        counts = [np.bincount(owner, minlength=len(words))[:len(words)] for owner, _ in found]
+        self.sizes = sum(counts, np.zeros(len(words), np.int64))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        coded = pa.array(np.concatenate([h for _, h in found]) if found else np.empty(0, np.uint64)).dictionary_encode()
+        names = coded.dictionary.to_numpy()
+        order = np.argsort(names)
+        self.names, place = names[order], np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        number, at, free = place[coded.indices.to_numpy()], 0, self.starts.copy()
+        self.grams = np.empty(len(number), np.int64)
+        for (owner, _), count in zip(found, counts):  # owners rise, so each word's n-grams of a length stand together
+            self.grams[np.arange(len(owner)) + np.repeat(free - (np.cumsum(count) - count), count)] = number[at:at + len(owner)]
+            at, free = at + len(owner), free + count
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """N-grams of all words ``codes``, word by word."""
+        n = self.sizes[codes]
+        return self.grams[np.repeat(self.starts[codes] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
 
 def _merged(text: np.ndarray, gram: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,19 +138,16 @@ def _merged(text: np.ndarray, gram: np.ndarray, count: np.ndarray) -> tuple[np.n
     return text[order], gram[order], total[order]
 
 
-def ranked_grams(texts: pa.Array, options: ProfileOptions) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, hash, rank from 0) of the texts' most frequent n-grams, some texts at a time."""
-    codes, ends, words = split_words(texts)
-    if not len(words):
-        return
-    owners, hashes, _ = letter_grams(words, options.longest)
-    names, gram = np.unique(hashes, return_inverse=True)
-    gram = gram[np.argsort(owners, kind="stable")]
-    sizes = np.bincount(owners, minlength=len(words))[:len(words)]
-    starts = np.cumsum(sizes) - sizes
+def ranked_grams(codes: np.ndarray, ends: np.ndarray, apart: WordGrams,
+                 most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, n-gram's number, rank from 0) of the ``most`` most frequent n-grams of texts, some texts at a time.
+
+    Text k has the words ``codes[ends[k]:ends[k + 1]]``.
+    """
+    words, sizes = max(1, len(apart.sizes)), apart.sizes
     text = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-    pair, times = np.unique(text * len(words) + codes, return_counts=True)
-    text, code = pair // len(words), pair % len(words)
+    pair, times = np.unique(text * words + codes, return_counts=True)
+    text, code = pair // words, pair % words
     live = sizes[code] > 0
     text, code, times = text[live], code[live], times[live]
     entries = np.concatenate([[0], np.cumsum(sizes[code])])
@@ -128,31 +159,25 @@ def ranked_grams(texts: pa.Array, options: ProfileOptions) -> Iterator[tuple[np.
             end = int(np.searchsorted(text, text[end]))  # whole texts
         if end <= start:  # a text beyond the limit: its n-grams are summed part by part
             end = int(np.searchsorted(text, text[start], "right"))
-            total, at = np.zeros(len(names), np.int64), start
+            total, at = np.zeros(len(apart.names), np.int64), start
             while at < end:
                 to = max(at + 1, min(end, int(np.searchsorted(entries, entries[at] + ENTRIES, "right")) - 1))
-                own = _spread(code[at:to], sizes, starts)
-                total += np.bincount(gram[own], np.repeat(times[at:to], sizes[code[at:to]]), len(names)).astype(np.int64)
+                times_each = np.repeat(times[at:to], sizes[code[at:to]])
+                total += np.bincount(apart.of(code[at:to]), times_each, len(total)).astype(np.int64)
                 at = to
             found = np.flatnonzero(total)
-            found = found[np.argsort(-total[found], kind="stable")][:options.document]
-            yield np.full(len(found), text[start]), names[found], np.arange(len(found))
+            found = found[np.argsort(-total[found], kind="stable")][:most]
+            yield np.full(len(found), text[start]), found, np.arange(len(found))
         else:
             own, n = code[start:end], sizes[code[start:end]]
-            t, g, _ = _merged(np.repeat(text[start:end] - text[start], n), gram[_spread(own, sizes, starts)],
-                              np.repeat(times[start:end], n))
-            rank = np.arange(len(t)) - np.searchsorted(t, t)
-            kept = rank < options.document
-            yield t[kept] + text[start], names[g[kept]], rank[kept]
+            t, g, _ = _merged(np.repeat(text[start:end] - text[start], n), apart.of(own), np.repeat(times[start:end], n))
+            held = np.bincount(t)
+            rank = np.arange(len(t)) - np.repeat(np.cumsum(held) - held, held)
+            kept = rank < most
+            yield t[kept] + text[start], g[kept], rank[kept]
         start = end
 
 
-def _spread(codes: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Places of all n-grams of the words ``codes``, word by word."""
-    n = sizes[codes]
-    return np.repeat(starts[codes] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-
-
 # ---- training ---------------------------------------------------------------------------------
 
 def held_out(doc_id: Column) -> Column:
@@ -178,12 +203,10 @@ def language_grams(docs: DataFrame, options: ProfileOptions = ProfileOptions())
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "word", size=1 << 20):
-                owners, hashes, _ = letter_grams(part.column("word"), options.longest)
-                lang = part.column("lang").dictionary_encode()
-                names, gram = np.unique(hashes, return_inverse=True)
-                own = lang.indices.to_numpy().astype(np.int64)[owners]
-                pair, place = np.unique(own * max(1, len(names)) + gram, return_inverse=True)
-                total = np.bincount(place, part.column("n").to_numpy()[owners], len(pair)).astype(np.int64)
+                apart, lang = WordGrams(part.column("word"), options.longest), part.column("lang").dictionary_encode()
+                names, own = apart.names, np.repeat(lang.indices.to_numpy().astype(np.int64), apart.sizes)
+                pair, place = np.unique(own * max(1, len(names)) + apart.grams, return_inverse=True)
+                total = np.bincount(place, np.repeat(part.column("n").to_numpy(), apart.sizes), len(pair)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [lang.dictionary.take(pa.array(pair // max(1, len(names)))),
                      pa.array(names[pair % max(1, len(names))].view(np.int64)), pa.array(total)], names=["lang", "gram", "n"])
@@ -216,20 +239,22 @@ def fit_profiles(docs: DataFrame, options: ProfileOptions = ProfileOptions()) ->
 def predict_languages(texts: pa.Array, profiles: Profiles) -> tuple[list[str], np.ndarray]:
     """Nearest language of each text, and 1 - distance as a share of the largest one possible."""
     most, count = profiles.options.profile, len(profiles.languages)
+    codes, ends, words = split_words(texts)
+    apart = WordGrams(words, profiles.options.longest)
     distance, seen = np.zeros((len(texts), count)), np.zeros(len(texts), np.int64)
-    for text, grams, rank in ranked_grams(texts, profiles.options):
-        place = np.searchsorted(profiles.grams, grams)
-        place[place == len(profiles.grams)] = 0
-        known = profiles.grams[place] == grams if len(profiles.grams) else np.zeros(len(grams), bool)
-        seen += np.bincount(text, minlength=len(texts))
-        strange = np.bincount(text[~known], minlength=len(texts)) * float(most)
+    place = np.searchsorted(profiles.grams, apart.names)
+    place[place == len(profiles.grams)] = 0
+    listed = profiles.grams[place] == apart.names if len(profiles.grams) else np.zeros(len(place), bool)
+    for text, gram, rank in ranked_grams(codes, ends, apart, profiles.options.document):
+        known = listed[gram]
+        all_, own = np.bincount(text, minlength=len(texts)), np.bincount(text[known], minlength=len(texts))
+        seen += all_
+        text, at, rank = text[known], place[gram[known]], rank[known]
         for k in range(count):
             # A text can have more ranks than a profile: nothing is further out than its length.
-            out = np.minimum(np.abs(profiles.ranks[place[known], k] - rank[known]), most)
-            distance[:, k] += strange + np.bincount(text[known], out, len(texts))
-    codes, ends, words = split_words(texts)
-    lettered = letter_grams(words, 1)[2] if len(words) else np.zeros(0, bool)
-    spoken = np.concatenate([[0], np.cumsum(lettered[codes])])
+            out = np.minimum(np.abs(profiles.ranks[at, k] - rank), most)
+            distance[:, k] += (all_ - own) * float(most) + np.bincount(text, out, len(texts))
+    spoken = np.concatenate([[0], np.cumsum(apart.has_letter[codes])])
     told = (spoken[ends[1:]] > spoken[ends[:-1]]) & (count > 0)
     if not count:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
