@@ -1,11 +1,10 @@
-"""Batch writers and the keyed changelog that streams upsert into."""
+"""Batch writers of the lake's zones."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlens.functions import rules as R
 from wardlens.sources.lake import Lake
 
 
@@ -43,74 +42,3 @@ def write_daily_csv(flat_calls: DataFrame, path: str) -> None:
     day = F.date_format(F.substring("timestamp", 1, 10).try_cast("date"), "yyyyMMdd")
     (flat_calls.withColumn("call_date", day)
      .write.mode("append").partitionBy("call_date").option("header", True).csv(path))
-
-
-def write_upserts(batch: DataFrame, batch_id: int, path: str, key: str, fmt: str = "parquet",
-                  **options: str) -> None:
-    """``foreachBatch`` writer of keyed rows with their processing time and version.
-
-    On files, a batch replaces its own ``batch_id`` folder, so a replayed batch changes nothing.
-    A connector that replaces by key gets the key as ``_id`` and needs no changelog.
-    """
-    rows = batch.withColumns({
-        "processed_at": F.current_timestamp(),
-        "processing_version": F.lit(R.PROCESSING_VERSION),
-    })
-    if fmt == "parquet":
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    else:
-        (rows.withColumn("_id", F.col(key)).write.format(fmt).mode("append")
-         .options(**options).save())
-
-
-def compacted_batches(spark: SparkSession, path: str) -> list[int]:
-    """Ascending batch ids up to which ``compact_log`` has written complete bases beside a changelog."""
-    context = spark.sparkContext
-    pattern = context._jvm.org.apache.hadoop.fs.Path(f"{path}.base/upto=*/_SUCCESS")
-    found = pattern.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return sorted(int(status.getPath().getParent().getName().removeprefix("upto=")) for status in found)
-
-
-def _log(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the last base, if there is one, and of the batches after it, with their ``batch_id``."""
-    log = spark.read.parquet(path)
-    done = compacted_batches(spark, path)
-    if not done:
-        return log
-    base = spark.read.parquet(f"{path}.base/upto={done[-1]}")
-    return log.filter(F.col("batch_id") > done[-1]).unionByName(base, allowMissingColumns=True)
-
-
-def compact_log(spark: SparkSession, path: str, key: str, order: str | None = None,
-                upto: int | None = None) -> int | None:
-    """Write a base of the latest rows beside a changelog; later reads scan it and newer batches only.
-
-    Returns the last batch id in the base. While the stream runs, ``upto`` names its last finished
-    batch. Folders of batches up to the returned id may then be deleted, and so may older bases.
-    """
-    log = _log(spark, path)
-    if upto is not None:
-        log = log.filter(F.col("batch_id") <= upto)
-    last = log.agg(F.max("batch_id")).first()[0]
-    done = compacted_batches(spark, path)
-    if last is not None and (not done or last > done[-1]):
-        rows = _latest(log.filter(F.col("batch_id") <= last), key, order)
-        rows.write.mode("overwrite").parquet(f"{path}.base/upto={last}")
-    return last
-
-
-def latest_view(spark: SparkSession, path: str, key: str, order: str | None = None) -> DataFrame:
-    """Last written row per key; ``order`` decides between rows of one batch."""
-    return _latest(_log(spark, path), key, order).drop("batch_id")
-
-
-def _latest(log: DataFrame, key: str, order: str | None) -> DataFrame:
-    payload = [name for name in log.columns if name != key]
-    recency = F.struct("batch_id", *([order] if order else []))
-    return (log.groupBy(key).agg(F.max_by(F.struct(*payload), recency).alias("latest"))
-            .select(key, "latest.*"))
-
-
-def compact(spark: SparkSession, path: str, key: str, target: str, order: str | None = None) -> None:
-    """Write the latest rows of a changelog to a table of its own."""
-    latest_view(spark, path, key, order).write.mode("overwrite").parquet(target)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wardlens.functions import with_share
 from wardlens.operators import calls as C
 from wardlens.operators import monitors as M
-from wardlens.sinks.tables import write_upserts
+from wardlens.sinks.changelog import write_upserts
 
 
 def with_event_time(calls: DataFrame, delay: str = "0 seconds") -> DataFrame:
