@@ -5,6 +5,7 @@ Dates and timestamps are returned as text.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -12,6 +13,7 @@ from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from acceptance import testbed as T
 from wardlens.operators import calls as C
@@ -19,8 +21,9 @@ from wardlens.operators import incidents as I
 from wardlens.operators import metrics as M
 from wardlens.operators import monitors as N
 from wardlens.session import limit_generated_methods, materialize, scratch_dir
-from wardlens.sinks import latest_view, write_daily_csv
+from wardlens.sinks import compact_log, expire_log, latest_view, logged_batches, write_daily_csv
 from wardlens.sources import Lake, decode_text, land_raw, parse_calls, read_raw
+from wardlens import streaming as live
 from wardlens.streaming import start_statistics, start_streams, upsert_sink, with_event_time
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -432,5 +435,79 @@ def stream_topology(spark, sf_dir):
     return counts
 
 
+# ---- streams over several micro-batches: time slices as files, stopped and started again ------------
+
+def _restarted(start: Callable[[dict], StreamingQuery], between: Callable[[], None] = lambda: None) -> None:
+    """Run a stream by time trigger, stop it in the middle, and finish it from its checkpoint."""
+    running = start({"processingTime": "0 seconds"})
+    while running.isActive and (running.lastProgress is None or running.lastProgress["batchId"] < 1):
+        time.sleep(0.05)
+    running.stop()
+    if running.exception() is not None:
+        raise running.exception()
+    between()
+    start(NOW).awaitTermination()
+
+
+@query
+def stream_compacted(spark, sf_dir):
+    """Running dispatch windows; between two runs and after them, the log is compacted and expired."""
+    base = f"{scratch_dir(spark)}/compacted-{uuid.uuid4().hex}"
+    calls = with_event_time(T.calls_of(T.event_files(spark, sf_dir)))
+    windows = N.with_result_key(N.dispatch_windows(calls, final_only=False))
+
+    def tidy() -> None:
+        last = logged_batches(spark, f"{base}/out")[-1]
+        compact_log(spark, f"{base}/out", "result_key", upto=last - 1, buckets=8)  # the last may be unfinished
+        expire_log(spark, f"{base}/out")
+
+    _restarted(lambda trigger: upsert_sink(windows, f"{base}/out", "result_key", f"{base}/checkpoint", trigger=trigger), tidy)
+    tidy()
+    return latest_view(spark, f"{base}/out", "result_key").drop("processed_at", "processing_version")
+
+
+def _slot_topology(spark: SparkSession, sf_dir: str, calls: DataFrame) -> str:
+    base = f"{scratch_dir(spark)}/slots-{uuid.uuid4().hex}"
+    stats = T.stats(spark, sf_dir)
+    _restarted(lambda trigger: live.start_slot_monitors(calls, stats, f"{base}/out", f"{base}/checkpoint", trigger, CALLS_START))
+    return f"{base}/out"
+
+
+@query
+def stream_slot_monitors(spark, sf_dir):
+    """Rows of all outputs of the live topology that reads its source once, in one shape."""
+    root = _slot_topology(spark, sf_dir, T.calls_of(T.event_files(spark, sf_dir)))
+    shapes = {
+        "stream_area_spikes": ("call_count", "spike_ratio"),
+        "stream_response_degradation": ("live_avg_minutes", "degradation_ratio"),
+        "stream_unit_utilization": ("lapd_units", "utilization_pct"),
+        "stream_dispatch_failures": ("failure_count", "failure_rate"),
+    }
+    frames = {name: (live.monitor_view(spark, root, name), "result_key", *measures) for name, measures in shapes.items()}
+    frames["stream_calls_enriched"] = live.calls_view(spark, root), "call_id", "priority", "resolution_rate"
+    frames["stream_escalated_calls"] = live.escalated_view(spark, root), "call_id", "original_priority", "escalated_priority"
+    rows = None
+    for name, (df, key, first, second) in frames.items():
+        part = df.select(F.lit(name).alias("output"), F.col(key).alias("key"), F.col(first).cast("double").alias("first"),
+                         F.col(second).cast("double").alias("second"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+@query
+def stream_late_calls(spark, sf_dir):
+    """Late calls by the event time of their own area, while another area runs hours ahead."""
+    root = _slot_topology(spark, sf_dir, T.out_of_order(T.calls_of(T.event_files(spark, sf_dir))))
+    return live.late_view(spark, root).select("call_id", "location.area_name", F.unix_micros("ts").alias("ts_micros"),
+                                              "arrived_in")
+
+
+@query
+def stream_late_counts(spark, sf_dir):
+    """Late and timely calls of each micro-batch and area."""
+    root = _slot_topology(spark, sf_dir, T.out_of_order(T.calls_of(T.event_files(spark, sf_dir))))
+    return live.late_counts(spark, root)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

@@ -232,6 +232,23 @@ def _shares(column: str, default: str) -> str:
   FROM (SELECT coalesce({column}, {default}) AS {column}, count(*) AS count FROM calls GROUP BY 1)"""
 
 
+# Calls out of order, with the micro-batch that brings them and their area's clock before it.
+OUT_OF_ORDER = f"""sliced AS (
+  SELECT event_id, user_id, {T.PART.format(div="//")} AS arrived_in
+  FROM (SELECT event_id, user_id, epoch_us(ts) AS micros, min(epoch_us(ts)) OVER () AS low, max(epoch_us(ts)) OVER () AS high
+        FROM events)),
+moved AS (
+  SELECT call_id, area_name, CAST(arrived_in AS INT) AS arrived_in,
+    ts + CASE WHEN {T.AHEAD} THEN INTERVAL 3 HOURS ELSE INTERVAL 0 HOURS END
+       - CASE WHEN {T.BEHIND} THEN INTERVAL 2 HOURS ELSE INTERVAL 0 HOURS END AS ts
+  FROM calls JOIN sliced ON call_id = CAST(event_id AS VARCHAR)),
+clocks AS (SELECT area_name, arrived_in, max(ts) AS clock FROM moved GROUP BY ALL),
+timed AS (
+  SELECT moved.*, coalesce(time_bucket(INTERVAL '5 minutes', ts) + INTERVAL 5 MINUTES <= (
+      SELECT max(clock) FROM clocks WHERE clocks.area_name = moved.area_name AND clocks.arrived_in < moved.arrived_in),
+    false) AS is_late
+  FROM moved)"""
+
 _TYPES = _shares("incident_type", "'UNKNOWN'")
 
 _SQL = {
@@ -372,6 +389,23 @@ _SQL = {
     "stream_call_counts": (CALLS, """SELECT coalesce(priority, 5) AS priority, count(*) AS count
         FROM calls GROUP BY 1"""),
     "stream_incident_type_stats": (CALLS, _TYPES),
+    "stream_compacted": (CALLS, _windowed(DISPATCHES)),
+    "stream_late_calls": (f"{CALLS},\n{OUT_OF_ORDER}", """SELECT call_id, area_name, epoch_us(ts) AS ts_micros, arrived_in
+        FROM timed WHERE is_late"""),
+    "stream_late_counts": (f"{CALLS},\n{OUT_OF_ORDER}", """SELECT arrived_in AS batch_id, area_name,
+        count(*) FILTER (is_late) AS late_calls, count(*) FILTER (NOT is_late) AS timely_calls FROM timed GROUP BY ALL"""),
+    "stream_slot_monitors": (f"{METRICS},\n{CALLS}", f"""
+        SELECT 'stream_area_spikes' AS output, area_name || '_' || window_start AS key, CAST(call_count AS DOUBLE) AS first,
+          spike_ratio AS second FROM ({SPIKES})
+        UNION ALL SELECT 'stream_response_degradation', area_name || '_' || window_start, live_avg_minutes, degradation_ratio
+          FROM ({DEGRADED})
+        UNION ALL SELECT 'stream_unit_utilization', area_name || '_' || window_start, CAST(lapd_units AS DOUBLE), utilization_pct
+          FROM ({UNIT_TABLE})
+        UNION ALL SELECT 'stream_dispatch_failures', area_name || '_' || window_start, CAST(failure_count AS DOUBLE), failure_rate
+          FROM ({FAILED})
+        UNION ALL SELECT 'stream_calls_enriched', call_id, CAST(priority AS DOUBLE), resolution_rate FROM {ENRICHED}
+        UNION ALL SELECT 'stream_escalated_calls', call_id, CAST(original_priority AS DOUBLE), CAST(escalated_priority AS DOUBLE)
+          FROM ({ESCALATED})"""),
     "stream_topology": (f"{METRICS},\n{CALLS}", f"""
         SELECT 'stream_calls' AS output, count(*) AS n FROM calls
         UNION ALL SELECT 'stream_calls_enriched', count(*) FROM {ENRICHED}

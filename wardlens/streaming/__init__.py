@@ -1,5 +1,9 @@
+from wardlens.streaming.slots import (
+    calls_view, escalated_view, late_counts, late_view, maintain, monitor_view, slots_view, start_slot_monitors,
+)
 from wardlens.streaming.topology import (
     start_rejected, start_statistics, start_streams, upsert_sink, with_event_time,
 )
 
-__all__ = ["start_rejected", "start_statistics", "start_streams", "upsert_sink", "with_event_time"]
+__all__ = ["calls_view", "escalated_view", "late_counts", "late_view", "maintain", "monitor_view", "slots_view",
+           "start_rejected", "start_slot_monitors", "start_statistics", "start_streams", "upsert_sink", "with_event_time"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable
 from datetime import datetime
 from functools import partial
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -21,14 +24,23 @@ def with_event_time(calls: DataFrame, delay: str = "0 seconds") -> DataFrame:
     return calls.withWatermark("ts", delay)
 
 
-def _start(stream: DataFrame, write, name: str | None, checkpoint: str, mode: str,
-           trigger: dict) -> StreamingQuery:
+#: One batch at a time for each checkpoint. Stopping a query does not end its batch's function: in an
+#: application that starts it again, that function could still overwrite what the new run has written.
+_WRITING: defaultdict[str, Lock] = defaultdict(Lock)
+
+
+def start_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], name: str | None, checkpoint: str,
+                  mode: str, trigger: dict) -> StreamingQuery:
+    def one_at_a_time(batch: DataFrame, batch_id: int) -> None:
+        with _WRITING[checkpoint]:
+            write(batch, batch_id)
+
     writer = (stream.writeStream.outputMode(mode).trigger(**trigger)
-              .option("checkpointLocation", checkpoint).foreachBatch(write))
+              .option("checkpointLocation", checkpoint).foreachBatch(one_at_a_time))
     return (writer.queryName(name) if name else writer).start()
 
 
-def _refuse_foreign(stream: DataFrame, path: str, checkpoint: str) -> None:
+def refuse_foreign(stream: DataFrame, path: str, checkpoint: str) -> None:
     """A new checkpoint numbers batches from 0; in another run's output its rows would count as old."""
     context = stream.sparkSession.sparkContext
 
@@ -47,9 +59,9 @@ def _write_rejected(batch: DataFrame, batch_id: int, path: str) -> None:
 def start_rejected(parsed: DataFrame, root: str, checkpoints: str, trigger: dict | None = None) -> StreamingQuery:
     """Keep the text of documents that are no calls, below ``root/stream_rejected``."""
     name = "stream_rejected"
-    _refuse_foreign(parsed, f"{root}/{name}", f"{checkpoints}/{name}")
+    refuse_foreign(parsed, f"{root}/{name}", f"{checkpoints}/{name}")
     rejected = parsed.filter("_corrupt IS NOT NULL").select(F.col("_corrupt").alias("document"))
-    return _start(rejected, partial(_write_rejected, path=f"{root}/{name}"), name, f"{checkpoints}/{name}",
+    return start_batches(rejected, partial(_write_rejected, path=f"{root}/{name}"), name, f"{checkpoints}/{name}",
                   "append", trigger or {"processingTime": "5 seconds"})
 
 
@@ -61,9 +73,9 @@ def upsert_sink(stream: DataFrame, path: str, key: str, checkpoint: str, mode: s
     Failed tasks are retried and failed batches replayed from the checkpoint: rows are not lost.
     """
     if fmt == "parquet":
-        _refuse_foreign(stream, path, checkpoint)
+        refuse_foreign(stream, path, checkpoint)
     write = partial(write_upserts, path=path, key=key, fmt=fmt, **options)
-    return _start(stream, write, name, checkpoint, mode, trigger or {"processingTime": "5 seconds"})
+    return start_batches(stream, write, name, checkpoint, mode, trigger or {"processingTime": "5 seconds"})
 
 
 def _write_stateless(batch: DataFrame, batch_id: int, root: str) -> None:
@@ -96,7 +108,7 @@ def start_statistics(calls: DataFrame, root: str, checkpoints: str,
     started = {}
     for by in ("priority", "incident_type"):
         name = f"stream_stats_{by}"
-        started[name] = _start(
+        started[name] = start_batches(
             C.call_counts(calls, by), partial(_write_statistics, path=f"{root}/{name}", by=by),
             name, f"{checkpoints}/{name}", "complete", trigger or {"processingTime": "5 seconds"})
     return started
@@ -127,7 +139,7 @@ def start_streams(calls: DataFrame, stats: DataFrame, root: str, checkpoints: st
                           f"{checkpoints}/{name}", mode=output_mode, trigger=trigger, name=name)
         for name, (stream, output_mode) in monitors.items()
     }
-    queries["stream_calls"] = _start(
+    queries["stream_calls"] = start_batches(
         C.enrich_calls(calls, stats), partial(_write_stateless, root=root), "stream_calls",
         f"{checkpoints}/stream_calls", "append", trigger)
     return queries
