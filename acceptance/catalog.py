@@ -22,7 +22,10 @@ from wardlens.operators import metrics as M
 from wardlens.operators import monitors as N
 from wardlens.session import limit_generated_methods, materialize, scratch_dir
 from wardlens.sinks import compact_log, expire_log, latest_view, logged_batches, write_daily_csv
-from wardlens.sources import Lake, decode_text, land_raw, parse_calls, read_raw
+from wardlens.sources import (
+    CALL_DOCUMENT, Lake, accepted_documents, decode_text, land_raw, parse_calls, read_raw, rejected_documents,
+)
+from wardlens.sources.heads import files_by_header
 from wardlens import streaming as live
 from wardlens.streaming import start_statistics, start_streams, upsert_sink, with_event_time
 
@@ -127,6 +130,24 @@ def raw_csv_cleaned(spark, sf_dir):
         "occurrence_year", "report_year", "status_resolution")
 
 
+@query
+def raw_csv_headers(spark, sf_dir):
+    """Raw files with different headers, told apart by their first lines and read by them."""
+    base = f"{scratch_dir(spark)}/headers-{uuid.uuid4().hex}"
+    raw = T.raw_incidents(spark, sf_dir)
+    for k, names in enumerate(T.RAW_LAYOUTS):
+        mine = raw.filter(F.col("DR_NO") % len(T.RAW_LAYOUTS) == k).select(*names)
+        (mine.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/source"))
+    found = None
+    for header, files in files_by_header(spark, f"{base}/source").items():
+        raw = read_raw(spark, files)
+        status = F.count("Status") if "Status" in raw.columns else F.lit(0).cast("long")
+        rows = raw.agg(F.lit(header).alias("header"), F.count("*").alias("n"), F.sum("DR_NO").alias("ids"), status.alias("statuses"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query
 def crime_category_counts(spark, sf_dir):
     return counted(I.categorize(T.silver(spark, sf_dir)), "crime_description", "crime_category")
@@ -239,6 +260,20 @@ def calls_parsed(spark, sf_dir):
     return _parsed_columns(parse_calls(documents).filter(F.col("_corrupt").isNull()))
 
 
+@query
+def calls_rejected(spark, sf_dir):
+    """Reasons why documents are no calls, one row each."""
+    rejected = rejected_documents(T.faulty_documents(spark, sf_dir), CALL_DOCUMENT)
+    return rejected.select("event_id", F.explode("reasons").alias("reason"))
+
+
+@query
+def calls_accepted(spark, sf_dir):
+    """Calls whose documents keep to the schema, parsed."""
+    kept = accepted_documents(T.faulty_documents(spark, sf_dir), CALL_DOCUMENT)
+    return _parsed_columns(parse_calls(kept.drop("event_id")).filter("_corrupt IS NULL"))
+
+
 @query
 def props_parsed(spark, sf_dir):
     from pyspark.sql import types as S
@@ -494,6 +529,16 @@ def stream_slot_monitors(spark, sf_dir):
     return rows
 
 
+@query
+def stream_daily_csv(spark, sf_dir):
+    """Flat calls written to daily CSV folders as they arrive, with a restart, and read back."""
+    base = f"{scratch_dir(spark)}/daily-stream-{uuid.uuid4().hex}"
+    flat = C.flatten_calls(T.calls_of(T.event_files(spark, sf_dir)))
+    _restarted(lambda trigger: live.start_daily_csv(flat, f"{base}/csv", f"{base}/checkpoint", trigger))
+    return live.read_daily_csv(spark, f"{base}/csv", flat.schema).groupBy("call_date", "status").agg(
+        F.count("*").alias("n"), F.sum("units_count").alias("units"))
+
+
 @query
 def stream_late_calls(spark, sf_dir):
     """Late calls by the event time of their own area, while another area runs hours ahead."""

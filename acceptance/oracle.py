@@ -232,6 +232,19 @@ def _shares(column: str, default: str) -> str:
   FROM (SELECT coalesce({column}, {default}) AS {column}, count(*) AS count FROM calls GROUP BY 1)"""
 
 
+# Faults of call documents; a document that is cut off has no other.
+REJECTED = f"""SELECT event_id, 'document is not JSON' AS reason FROM events WHERE {T.FAULTS["cut_off"]}
+  UNION ALL SELECT event_id, reason FROM (
+    SELECT event_id, unnest([
+      CASE WHEN {T.FAULTS["unknown_type"]} THEN 'call_type has an unknown value' END,
+      CASE WHEN incident_type IS NULL THEN 'incident_type is missing' END,
+      CASE WHEN {T.FAULTS["quoted_priority"]} THEN 'priority is no integer'
+        WHEN {T.FAULTS["bad_priority"]} THEN 'priority is out of range' END,
+      CASE WHEN {T.FAULTS["no_area_point"]} THEN 'location.latitude is missing' END]) AS reason
+    FROM (SELECT CAST(call_id AS BIGINT) AS event_id, incident_type FROM calls)
+    WHERE NOT ({T.FAULTS["cut_off"]}))
+  WHERE reason IS NOT NULL"""
+
 # Calls out of order, with the micro-batch that brings them and their area's clock before it.
 OUT_OF_ORDER = f"""sliced AS (
   SELECT event_id, user_id, {T.PART.format(div="//")} AS arrived_in
@@ -284,6 +297,10 @@ _SQL = {
         CAST(date_reported AS VARCHAR) AS date_reported, CAST(date_occured AS VARCHAR) AS date_occured,
         time_occured, crime_description, victim_age, victim_sex, street_address, lat, lon,
         occurrence_year, report_year, status_resolution FROM incidents"""),
+    "raw_csv_headers": (INCIDENTS, " UNION ALL ".join(
+        f"""SELECT '{','.join(names)}' AS header, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids,
+        {"count(status)" if "Status" in names else "0::BIGINT"} AS statuses
+        FROM incidents WHERE id % {len(T.RAW_LAYOUTS)} = {k}""" for k, names in enumerate(T.RAW_LAYOUTS))),
     "crime_category_counts": (CATEGORIZED, _counts("categorized", "crime_description",
                                                    "crime_category")),
     "crime_severity_counts": (CATEGORIZED, _counts(
@@ -350,6 +367,9 @@ _SQL = {
         resolution_rate, crime_density_percentile,
         area_risk_level, historical_avg_minutes FROM lookup"""),
     "calls_parsed": (CALLS, PARSED),
+    "calls_rejected": (CALLS, REJECTED),
+    "calls_accepted": (CALLS, f"""SELECT * FROM ({PARSED}) WHERE CAST(call_id AS BIGINT) NOT IN
+        (SELECT event_id FROM ({REJECTED}))"""),
     "props_parsed": (None, """SELECT event_type, count(*) AS n,
         CAST(sum(CAST(json_extract(props, '$.k') AS INT)) AS BIGINT) AS k_sum,
         count(*) FILTER (NOT json_valid(props)) AS corrupt
@@ -389,6 +409,8 @@ _SQL = {
     "stream_call_counts": (CALLS, """SELECT coalesce(priority, 5) AS priority, count(*) AS count
         FROM calls GROUP BY 1"""),
     "stream_incident_type_stats": (CALLS, _TYPES),
+    "stream_daily_csv": (CALLS, """SELECT strftime(ts, '%Y%m%d') AS call_date, status, count(*) AS n,
+        CAST(sum(len(units_dispatched)) AS BIGINT) AS units FROM calls GROUP BY 1, 2"""),
     "stream_compacted": (CALLS, _windowed(DISPATCHES)),
     "stream_late_calls": (f"{CALLS},\n{OUT_OF_ORDER}", """SELECT call_id, area_name, epoch_us(ts) AS ts_micros, arrived_in
         FROM timed WHERE is_late"""),

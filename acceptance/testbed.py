@@ -137,6 +137,14 @@ def incident_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(lines.join(orders, F.expr("l_orderkey = o_orderkey")), INCIDENT)
 
 
+#: Headers of raw files that differ: some columns only, in an order of their own.
+RAW_LAYOUTS = [
+    ["DR_NO", "AREA ", "AREA NAME", "DATE OCC", "Status"],
+    ["Status", "DATE OCC", "DR_NO", "LAT", "LON"],
+    ["AREA NAME", "DR_NO", "Vict Age"],
+]
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incidents as the raw file has them: its 28 headers and dates as text."""
     rows = incident_rows(spark, sf_dir).withColumns({
@@ -150,6 +158,33 @@ def calls_of(events: DataFrame) -> DataFrame:
     return rows.withColumn("timestamp", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
+#: Faults put into call documents, by the event's id.
+FAULTS = {
+    "bad_priority": "event_id % 11 = 3",
+    "quoted_priority": "event_id % 17 = 5",
+    "unknown_type": "event_id % 13 = 4",
+    "no_area_point": "event_id % 23 = 6",
+    "cut_off": "event_id % 19 = 7",
+}
+
+
+def faulty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, value): every call as a JSON document, some of them with faults."""
+    from wardlens.operators.calls import encode_json, nest_calls
+
+    calls = calls_of(table(spark, sf_dir, "events")).drop("ts").withColumn("event_id", F.col("call_id").cast("long"))
+    is_ = {name: F.expr(text) for name, text in FAULTS.items()}
+    calls = calls.withColumns({
+        "priority": F.when(is_["bad_priority"], F.lit(9)).otherwise(F.col("priority")),
+        "call_type": F.when(is_["unknown_type"], F.lit("PRANK")).otherwise(F.col("call_type")),
+        "latitude": F.when(~is_["no_area_point"], F.col("latitude")),
+    })
+    nested = nest_calls(calls)
+    text = F.to_json(F.struct(*[c for c in nested.columns if c != "event_id"]))
+    text = F.when(is_["quoted_priority"], F.regexp_replace(text, r'"priority":([0-9]+)', r'"priority":"$1"')).otherwise(text)
+    return nested.select("event_id", F.when(is_["cut_off"], F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text).alias("value"))
+
+
 def out_of_order(calls: DataFrame) -> DataFrame:
     """Calls whose ``ts`` is three hours ahead in one area and two hours behind for some ids."""
     user = F.substring_index("area_name", "_", -1)

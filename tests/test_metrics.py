@@ -3,12 +3,14 @@
 import datetime as dt
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
 from wardlens.operators import metrics as M
 from wardlens.operators.area_stats import area_stats
-from wardlens.operators.lookup import attach
+from wardlens.operators.lookup import BROADCAST_BYTES, attach, hot_hashes, measured_bytes
+from wardlens.session import materialize
 
 ROWS = (
     [(1, "Central", 2019, "Closed")] * 10 + [(1, "Central", 2020, "Ongoing")] * 12
@@ -154,3 +156,63 @@ def test_large_lookup_join_spreads_hot_and_null_keys(spark, no_auto_broadcast):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_only_hot_keys_are_copied(spark, no_auto_broadcast):
+    """A third of the rows on one key and one in 150 on another: both are spread, the rest is not copied."""
+    facts = spark.range(60_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 150 = 1 THEN 11 ELSE id END AS k")
+    lookup = spark.range(60_000).selectExpr("id AS k", "CAST(id AS STRING) AS v")
+    assert hot_hashes(facts, F.xxhash64("k")) == sorted(
+        r.h for r in spark.sql("SELECT xxhash64(7L) h UNION ALL SELECT xxhash64(11L)").collect())
+    joined = attach(facts, lookup, {"k": F.col("k")}, "id", max_bytes=0)
+    assert joined.count() == 60_000 and joined.filter("v = CAST(k AS STRING)").count() == 60_000
+    even = spark.range(60_000).selectExpr("id", "id % 30000 AS k")
+    assert hot_hashes(even, F.xxhash64("k")) == []
+    plan = plan_of(attach(even, lookup, {"k": F.col("k")}, "id", max_bytes=0))
+    assert "[0,1,2,3," not in plan and "CASE" not in plan[plan.index("Generate"):]
+    copied = plan_of(joined)
+    assert "CASE WHEN" in copied[copied.index("Generate"):]
+
+
+def test_hot_keys_of_odd_frames(spark, no_auto_broadcast):
+    empty = spark.range(0).selectExpr("id", "id AS k")
+    lookup = spark.range(5).selectExpr("CAST(id AS INT) AS k", "id AS v")
+    assert hot_hashes(empty, F.xxhash64("k")) == []
+    assert attach(empty, lookup, {"k": F.col("k")}, "id", max_bytes=0).count() == 0
+    # Keys of another type than the lookup's still meet.
+    facts = spark.range(900).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 3L ELSE NULL END AS k")
+    rows = attach(facts, lookup, {"k": F.col("k")}, "id", max_bytes=0).groupBy("v").count().collect()
+    assert {r.v: r["count"] for r in rows} == {3: 450, None: 450}
+
+
+def test_sizes_of_small_files_need_no_job(spark, tmp_path):
+    spark.range(100).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "small"))
+    small = spark.read.parquet(str(tmp_path / "small"))
+    group = "sizes"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert 0 < measured_bytes(small) < BROADCAST_BYTES
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("values", [[], [5], [3, 1, 2], [7, 7, 7], [None, 1, None, 4], list(range(300)) * 2 + [1000] * 50])
+def test_ranks_by_ranges(spark, values):
+    areas = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "area_id int, n long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked, total = M.ranked_below(areas.groupBy("n").agg(F.count("*").alias("areas")), "n", "areas")
+        below = {r.n: r.below for r in ranked.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = sorted(values, key=lambda v: (v is not None, v or 0))
+    assert total == len(values) and below == {v: order.index(v) for v in set(values)}
+    if len(values) > 100:
+        assert "SinglePartition" not in plan_of(ranked)
+
+
+def test_percent_ranks_have_no_single_task(spark):
+    areas = materialize(spark.range(500).selectExpr("id AS area_id", "id % 90 AS total_cases"), "areas")
+    plan = plan_of(M.density_percentile(areas))
+    assert "SinglePartition" not in plan and "Window" in plan

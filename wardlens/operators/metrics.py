@@ -46,28 +46,34 @@ def resolution_stats(counts: DataFrame) -> DataFrame:
     )
 
 
+def ranked_below(counts: DataFrame, value: str, weight: str) -> tuple[DataFrame, int]:
+    """(``counts`` with the sum of ``weight`` over smaller values in ``below``, the sum over all).
+
+    Values are distinct. They are dealt into ranges, each range is summed up by itself, and what the ranges
+    before it hold is added: as a running total over all values, but in as many tasks as there are ranges.
+    Nulls come first.
+    """
+    # Where a range lies in the order of ranges is the number of the task that writes it.
+    ranges = materialize(counts.repartitionByRange(F.col(value)).withColumn("range", F.spark_partition_id()), "rank-ranges")
+    offsets, total = {}, 0
+    # As many rows as ranges.
+    for row in ranges.groupBy("range").agg(F.sum(weight).alias("held")).orderBy("range").collect():
+        offsets[row.range], total = total, total + row.held
+    before = Window.partitionBy("range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])[F.col("range")] if offsets else F.lit(0)
+    below = offset.cast("long") + F.coalesce(F.sum(weight).over(before), F.lit(0))
+    return ranges.withColumn("below", below).drop("range"), total
+
+
 def density_percentile(areas: DataFrame, count_col: str = "total_cases") -> DataFrame:
     """Add each area's percent rank (0-100) by number of incidents, and its density label.
 
-    ``areas`` should derive from a written table, as it is read more than once.
-
-    Ranks come from a running total over the distinct counts. Distinct positive counts that add
-    up to at most N incidents number fewer than sqrt(2N), about 4.5 million for 10^13 incidents,
-    however many areas there are: that bounds the single-task window.
+    ``areas`` should derive from a written table, as it is read more than once. Areas of equal count share
+    a rank, which comes from running totals over the distinct counts.
     """
-    whole = Window.orderBy(count_col)
-    before = whole.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranks = (
-        areas.groupBy(count_col).agg(F.count("*").alias("areas"))
-        .withColumns({
-            "below": F.coalesce(F.sum("areas").over(before), F.lit(0)),
-            "all": F.sum("areas").over(everything),
-        })
-        .select(count_col, F.when(F.col("all") == 1, F.lit(0.0))
-                .otherwise(F.col("below") / (F.col("all") - 1) * 100)
-                .alias("crime_density_percentile"))
-    )
+    ranked, total = ranked_below(areas.groupBy(count_col).agg(F.count("*").alias("areas")), count_col, "areas")
+    percentile = F.lit(0.0) if total == 1 else F.col("below") / (total - 1) * 100
+    ranks = ranked.select(count_col, percentile.alias("crime_density_percentile"))
     ranked = attach(areas, ranks, {count_col: F.col(count_col)}, spread_by="area_id")
     return ranked.withColumn(
         "crime_density_category", X.bucketize(
@@ -116,17 +122,17 @@ _YEAR_COLUMNS = ["yearly_crime_count", "yoy_crime_change_pct", "crime_trend"]
 
 def area_profile(counts: DataFrame) -> DataFrame:
     """Resolution and density per area, also for the null area."""
-    return density_percentile(resolution_stats(counts))
+    return density_percentile(materialize(resolution_stats(counts), "resolution_stats"))
 
 
-def area_summary(counts: DataFrame) -> DataFrame:
+def area_summary(counts: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """One row per area. Incidents without an area get no area metrics."""
     known = F.col("area_id").isNotNull()
-    return area_profile(counts).select(
-        "area_id", "area_name", *[F.when(known, F.col(c)).alias(c) for c in _AREA_COLUMNS])
+    profile = area_profile(counts) if profile is None else profile
+    return profile.select("area_id", "area_name", *[F.when(known, F.col(c)).alias(c) for c in _AREA_COLUMNS])
 
 
-def area_year_metrics(counts: DataFrame) -> DataFrame:
+def area_year_metrics(counts: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     """One row per (area_id, occurrence_year) with area, year and risk columns.
 
     Year metrics need both keys and area metrics need the area, as in a join on those keys.
@@ -137,7 +143,8 @@ def area_year_metrics(counts: DataFrame) -> DataFrame:
         *[F.when(dated, F.col(c)).alias(c) for c in _YEAR_COLUMNS])
     score = risk_score(F.col("crime_density_percentile"), F.col("resolution_rate"),
                        F.col("crime_trend"))
-    return (years.join(area_profile(counts).select("area_id", *_AREA_COLUMNS), "area_id", "left")
+    profile = area_profile(counts) if profile is None else profile
+    return (years.join(profile.select("area_id", *_AREA_COLUMNS), "area_id", "left")
             .withColumn("area_risk_score", score)
             .withColumn("area_risk_level", risk_level(F.col("area_risk_score"))))
 
@@ -169,11 +176,12 @@ def enrich_incidents(incidents: DataFrame, area_years: DataFrame) -> DataFrame:
 def metric_tables(incidents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(``area_year_metrics``, ``area_summary``) from one pass over the incidents.
 
-    The counts and the year metrics are written to the shared folder, because several results are
-    derived from each.
+    The counts, the areas' profile and the year metrics are written to the shared folder, because
+    several results are derived from each.
     """
     counts = materialize(area_year_counts(incidents), "area_year_counts")
-    return materialize(area_year_metrics(counts), "area_year_metrics"), area_summary(counts)
+    profile = materialize(area_profile(counts), "area_profile")
+    return materialize(area_year_metrics(counts, profile), "area_year_metrics"), area_summary(counts, profile)
 
 
 def business_metrics(incidents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlens.session import materialize
+from wardlens.sources.heads import files_by_header
 from wardlens.sources.schemas import RAW_INCIDENT
 
 
@@ -35,26 +35,6 @@ class Lake:
         return f"{self.root}/gold/{name}"
 
 
-def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Header line -> files below ``path`` that start with it.
-
-    One scan of the lines, reduced to a row per file before anything is gathered.
-    """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        "value", F.monotonically_increasing_id().alias("at"))
-    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups: dict[str, list[str]] = {}
-    for row in sorted(first.collect(), key=lambda r: (r.header, r.file)):  # as many rows as files
-        groups.setdefault(row.header, []).append(row.file)
-    return groups
-
-
-def _plain(files: list[str]) -> list[str]:
-    """Paths as readers take them: metadata columns give them with escapes."""
-    return [unquote(name) for name in files]
-
-
 def land_raw(spark: SparkSession, source: str, lake: Lake) -> None:
     """Copy the lines of raw CSV files into bronze, replacing what was there.
 
@@ -63,7 +43,7 @@ def land_raw(spark: SparkSession, source: str, lake: Lake) -> None:
     """
     landed = None
     for header, files in files_by_header(spark, source).items():
-        lines = spark.read.text(_plain(files)).filter(F.col("value") != header)
+        lines = spark.read.text(files).filter(F.col("value") != header)
         # The low 33 bits of the id number the rows of a partition.
         lines = lines.withColumn("at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
         part = lines.select(F.explode(F.when(F.col("at") == 0, F.array(F.lit(header), "value"))
@@ -73,7 +53,7 @@ def land_raw(spark: SparkSession, source: str, lake: Lake) -> None:
         landed.write.mode("overwrite").text(lake.bronze)
 
 
-def read_raw(spark: SparkSession, path: str, **options: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """Raw incident CSV with declared types; columns are mapped by the header of each file.
 
     Columns that a file lacks are null. Fields that do not parse become null. ``options`` go to the
@@ -84,7 +64,7 @@ def read_raw(spark: SparkSession, path: str, **options: str) -> DataFrame:
     for header, files in files_by_header(spark, path).items():
         names = next(csv.reader([header.removeprefix("\ufeff")], delimiter=options.get("sep", ",")), [])
         schema = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in names])
-        part = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", enforceSchema=True, **options).csv(_plain(files))
+        part = spark.read.schema(schema).options(header=True, mode="PERMISSIVE", enforceSchema=True, **options).csv(files)
         found = part if found is None else found.unionByName(part, allowMissingColumns=True)
     return spark.createDataFrame([], RAW_INCIDENT) if found is None else found
 

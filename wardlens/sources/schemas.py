@@ -49,3 +49,39 @@ CALL = T.StructType([
     ])),
     T.StructField("status", T.StringType()),
 ])
+
+# What a call document must hold, as a schema document.
+CALL_DOCUMENT = {
+    "type": "object",
+    "properties": {
+        "call_id": {"type": "string"},
+        "timestamp": {"type": "string", "format": "date-time"},
+        "call_type": {"type": "string", "enum": ["EMERGENCY", "NON_EMERGENCY", "TRANSFER"]},
+        "incident_type": {"type": "string"},
+        "priority": {"type": "integer", "minimum": 1, "maximum": 5},
+        "location": {
+            "type": "object",
+            "properties": {
+                "address": {"type": "string"},
+                "area_name": {"type": "string"},
+                "latitude": {"type": "number"},
+                "longitude": {"type": "number"},
+            },
+            "required": ["latitude", "longitude"],
+        },
+        "caller_info": {
+            "type": "object",
+            "properties": {"phone_number": {"type": "string"}, "is_anonymous": {"type": "boolean"}},
+        },
+        "dispatch_info": {
+            "type": "object",
+            "properties": {
+                "units_dispatched": {"type": "array", "items": {"type": "string"}},
+                "response_time_minutes": {"type": "number"},
+                "is_dispatched": {"type": "boolean"},
+            },
+        },
+        "status": {"type": "string", "enum": ["RECEIVED", "PROCESSING", "DISPATCHED", "CLOSED"]},
+    },
+    "required": ["call_id", "timestamp", "call_type", "incident_type", "priority", "location", "status"],
+}

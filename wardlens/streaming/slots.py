@@ -49,7 +49,7 @@ def _clocks_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     """area, clock: event time of each area when the batch begins."""
     earlier = [n for n in logged_batches(spark, f"{root}/clocks") if n < batch_id]
     if not earlier:
-        return spark.createDataFrame([], "area string, clock timestamp")
+        return spark.range(0).selectExpr("CAST(id AS STRING) AS area", "CAST(NULL AS TIMESTAMP) AS clock")
     return spark.read.schema("area string, clock timestamp").parquet(f"{root}/clocks/batch_id={earlier[-1]}")
 
 

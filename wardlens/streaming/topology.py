@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 from functools import partial
 from threading import Lock
@@ -17,6 +17,8 @@ from wardlens.functions import with_share
 from wardlens.operators import calls as C
 from wardlens.operators import monitors as M
 from wardlens.sinks.changelog import write_upserts
+from wardlens.sources.schemas import CALL_DOCUMENT
+from wardlens.sources.validation import rejected_documents
 
 
 def with_event_time(calls: DataFrame, delay: str = "0 seconds") -> DataFrame:
@@ -56,13 +58,21 @@ def _write_rejected(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.withColumn("processed_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def start_rejected(parsed: DataFrame, root: str, checkpoints: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep the text of documents that are no calls, below ``root/stream_rejected``."""
+def start_rejected(parsed: DataFrame, root: str, checkpoints: str, trigger: dict | None = None,
+                   schema: Mapping | None = None) -> StreamingQuery:
+    """Keep what is no call below ``root/stream_rejected``.
+
+    ``parsed`` are parsed calls, of which those with ``_corrupt`` text are kept; or, with a ``schema`` document,
+    raw documents in ``value``, of which those that break it are kept with their reasons.
+    """
     name = "stream_rejected"
     refuse_foreign(parsed, f"{root}/{name}", f"{checkpoints}/{name}")
-    rejected = parsed.filter("_corrupt IS NOT NULL").select(F.col("_corrupt").alias("document"))
+    if schema is None:
+        rejected = parsed.filter("_corrupt IS NOT NULL").select(F.col("_corrupt").alias("document"))
+    else:
+        rejected = rejected_documents(parsed, schema)
     return start_batches(rejected, partial(_write_rejected, path=f"{root}/{name}"), name, f"{checkpoints}/{name}",
-                  "append", trigger or {"processingTime": "5 seconds"})
+                         "append", trigger or {"processingTime": "5 seconds"})
 
 
 def upsert_sink(stream: DataFrame, path: str, key: str, checkpoint: str, mode: str = "update",
@@ -116,9 +126,13 @@ def start_statistics(calls: DataFrame, root: str, checkpoints: str,
 
 def start_streams(calls: DataFrame, stats: DataFrame, root: str, checkpoints: str,
                   trigger: dict | None = None, start_ts: datetime | None = None,
-                  delay: str = "0 seconds", final_only: bool = False) -> dict[str, StreamingQuery]:
+                  delay: str = "0 seconds", final_only: bool = False,
+                  documents: DataFrame | None = None) -> dict[str, StreamingQuery]:
     """Start all outputs below ``root``; ``calls`` are parsed calls.
 
+    With the raw ``documents`` that they were parsed from, those that break the schema of calls are kept
+    with their reasons too.
+
     Windowed results are upserted whenever they change. ``final_only`` makes all of them final: one
     row per closed window.
     """
@@ -142,4 +156,6 @@ def start_streams(calls: DataFrame, stats: DataFrame, root: str, checkpoints: st
     queries["stream_calls"] = start_batches(
         C.enrich_calls(calls, stats), partial(_write_stateless, root=root), "stream_calls",
         f"{checkpoints}/stream_calls", "append", trigger)
+    if documents is not None:
+        queries["stream_rejected"] = start_rejected(documents, root, checkpoints, trigger, CALL_DOCUMENT)
     return queries
