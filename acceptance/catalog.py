@@ -20,6 +20,7 @@ from wardlens.operators import calls as C
 from wardlens.operators import incidents as I
 from wardlens.operators import metrics as M
 from wardlens.operators import monitors as N
+from wardlens.plans import run_batch
 from wardlens.session import limit_generated_methods, materialize, scratch_dir
 from wardlens.sinks import compact_log, expire_log, latest_view, logged_batches, write_daily_csv
 from wardlens.sources import (
@@ -130,6 +131,36 @@ def raw_csv_cleaned(spark, sf_dir):
         "occurrence_year", "report_year", "status_resolution")
 
 
+@query
+def batch_gold(spark, sf_dir):
+    """The whole batch run, from raw CSV to its eleven gold collections: their rows and a sum of each."""
+    base = f"{scratch_dir(spark)}/batch-{uuid.uuid4().hex}"
+    (T.raw_incidents(spark, sf_dir).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/source"))
+    lake = Lake(base)
+    run_batch(spark, lake, f"{base}/source")
+    sums = {
+        "gold_business_metrics": "id", "gold_crime_categorization": "id", "gold_categorical_standardization": "id",
+        "gold_data_quality": "id", "gold_geographic_enrichment": "id", "gold_time_dimensions": "id",
+        "gold_bm_area_summary": "area_id", "gold_bm_yoy_crime_trends": "yearly_crime_count",
+        "gold_bm_reporting_lag": "total_records", "gold_bm_reporting_speed": "count", "gold_crime_count_by_year": "count",
+    }
+    found = None
+    for name, column in sums.items():
+        rows = spark.read.parquet(lake.gold(name)).agg(
+            F.lit(name).alias("collection"), F.count("indexed_at").alias("n"), F.sum(column).cast("long").alias("total"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query
+def published_trends(spark, sf_dir):
+    """The published yearly trends with their audit column."""
+    T.stats(spark, sf_dir)
+    gold = spark.read.parquet(T.lake_of(spark, sf_dir).gold("gold_bm_yoy_crime_trends"))
+    return gold.withColumn("indexed_at", F.col("indexed_at").between(F.expr("current_timestamp() - INTERVAL '1' DAY"), F.current_timestamp()))
+
+
 @query
 def raw_csv_headers(spark, sf_dir):
     """Raw files with different headers, told apart by their first lines and read by them."""
@@ -358,37 +389,64 @@ NOW = {"availableNow": True}
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events at once."""
     events = T.table(spark, sf_dir, "events")
     # A glob, because a file stream takes a plain path for a directory.
     return T.calls_of(spark.readStream.schema(events.schema).parquet(f"{sf_dir}/{{events.parquet}}"))
 
 
-def _replay(stream: DataFrame, key: str, mode: str = "update") -> DataFrame:
+def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events time slice by time slice, one per micro-batch."""
+    return T.calls_of(T.event_files(spark, sf_dir))
+
+
+def _restarted(start: Callable[[dict], StreamingQuery], between: Callable[[], None] = lambda: None) -> None:
+    """Run a stream by time trigger, stop it in the middle, and finish it from its checkpoint."""
+    running = start({"processingTime": "0 seconds"})
+    while running.isActive and (running.lastProgress is None or running.lastProgress["batchId"] < 1):
+        time.sleep(0.05)
+    running.stop()
+    if running.exception() is not None:
+        raise running.exception()
+    between()
+    start(NOW).awaitTermination()
+
+
+def _replay(stream: DataFrame, key: str, mode: str = "update", restart: bool = True) -> DataFrame:
     spark = stream.sparkSession
     base = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
-    upsert_sink(stream, f"{base}/out", key, f"{base}/checkpoint", mode, NOW).awaitTermination()
+    start = lambda trigger: upsert_sink(stream, f"{base}/out", key, f"{base}/checkpoint", mode, trigger)
+    if restart:
+        _restarted(start)
+    else:
+        start(NOW).awaitTermination()
     return latest_view(spark, f"{base}/out", key).drop("processed_at", "processing_version")
 
 
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_event_time(_sliced(spark, sf_dir))
+
+
+def _at_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For windows that are reported while they exceed a limit and not taken back: one batch, one report."""
     return with_event_time(_stream(spark, sf_dir))
 
 
 @query
 def stream_calls(spark, sf_dir):
-    return _parsed_columns(_replay(_stream(spark, sf_dir), "call_id", "append"))
+    return _parsed_columns(_replay(_sliced(spark, sf_dir), "call_id", "append"))
 
 
 @query
 def stream_calls_enriched(spark, sf_dir):
-    enriched = C.enrich_calls(_stream(spark, sf_dir), T.stats(spark, sf_dir))
+    enriched = C.enrich_calls(_sliced(spark, sf_dir), T.stats(spark, sf_dir))
     return _replay(enriched.select("call_id", "area_name", "area_risk_level", "resolution_rate"),
                    "call_id", "append")
 
 
 @query
 def stream_escalated_calls(spark, sf_dir):
-    enriched = C.enrich_calls(_stream(spark, sf_dir), T.stats(spark, sf_dir))
+    enriched = C.enrich_calls(_sliced(spark, sf_dir), T.stats(spark, sf_dir))
     return _replay(C.escalate_calls(enriched), "call_id", "append")
 
 
@@ -401,8 +459,8 @@ def stream_area_spikes(spark, sf_dir):
 @query
 def stream_spikes_updated(spark, sf_dir):
     """Spikes as they happen: windows still open count too."""
-    spikes = N.spike_detection(_timed(spark, sf_dir), start_ts=CALLS_START, final_only=False)
-    return _replay(N.with_result_key(spikes), "result_key")
+    spikes = N.spike_detection(_at_once(spark, sf_dir), start_ts=CALLS_START, final_only=False)
+    return _replay(N.with_result_key(spikes), "result_key", restart=False)
 
 
 @query
@@ -413,8 +471,8 @@ def stream_response_windows(spark, sf_dir):
 
 @query
 def stream_response_degradation(spark, sf_dir):
-    slow = N.response_degradation(_timed(spark, sf_dir), T.stats(spark, sf_dir), final_only=False)
-    return _replay(N.with_result_key(slow), "result_key")
+    slow = N.response_degradation(_at_once(spark, sf_dir), T.stats(spark, sf_dir), final_only=False)
+    return _replay(N.with_result_key(slow), "result_key", restart=False)
 
 
 @query
@@ -438,7 +496,7 @@ def stream_dispatch_failures(spark, sf_dir):
 
 @query
 def stream_call_counts(spark, sf_dir):
-    return _replay(C.call_counts(_stream(spark, sf_dir), "priority"), "priority", "complete")
+    return _replay(C.call_counts(_sliced(spark, sf_dir), "priority"), "priority", "complete")
 
 
 @query
@@ -472,23 +530,11 @@ def stream_topology(spark, sf_dir):
 
 # ---- streams over several micro-batches: time slices as files, stopped and started again ------------
 
-def _restarted(start: Callable[[dict], StreamingQuery], between: Callable[[], None] = lambda: None) -> None:
-    """Run a stream by time trigger, stop it in the middle, and finish it from its checkpoint."""
-    running = start({"processingTime": "0 seconds"})
-    while running.isActive and (running.lastProgress is None or running.lastProgress["batchId"] < 1):
-        time.sleep(0.05)
-    running.stop()
-    if running.exception() is not None:
-        raise running.exception()
-    between()
-    start(NOW).awaitTermination()
-
-
 @query
 def stream_compacted(spark, sf_dir):
     """Running dispatch windows; between two runs and after them, the log is compacted and expired."""
     base = f"{scratch_dir(spark)}/compacted-{uuid.uuid4().hex}"
-    calls = with_event_time(T.calls_of(T.event_files(spark, sf_dir)))
+    calls = with_event_time(_sliced(spark, sf_dir))
     windows = N.with_result_key(N.dispatch_windows(calls, final_only=False))
 
     def tidy() -> None:
@@ -511,7 +557,7 @@ def _slot_topology(spark: SparkSession, sf_dir: str, calls: DataFrame) -> str:
 @query
 def stream_slot_monitors(spark, sf_dir):
     """Rows of all outputs of the live topology that reads its source once, in one shape."""
-    root = _slot_topology(spark, sf_dir, T.calls_of(T.event_files(spark, sf_dir)))
+    root = _slot_topology(spark, sf_dir, _sliced(spark, sf_dir))
     shapes = {
         "stream_area_spikes": ("call_count", "spike_ratio"),
         "stream_response_degradation": ("live_avg_minutes", "degradation_ratio"),
@@ -533,7 +579,7 @@ def stream_slot_monitors(spark, sf_dir):
 def stream_daily_csv(spark, sf_dir):
     """Flat calls written to daily CSV folders as they arrive, with a restart, and read back."""
     base = f"{scratch_dir(spark)}/daily-stream-{uuid.uuid4().hex}"
-    flat = C.flatten_calls(T.calls_of(T.event_files(spark, sf_dir)))
+    flat = C.flatten_calls(_sliced(spark, sf_dir))
     _restarted(lambda trigger: live.start_daily_csv(flat, f"{base}/csv", f"{base}/checkpoint", trigger))
     return live.read_daily_csv(spark, f"{base}/csv", flat.schema).groupBy("call_date", "status").agg(
         F.count("*").alias("n"), F.sum("units_count").alias("units"))
@@ -542,7 +588,7 @@ def stream_daily_csv(spark, sf_dir):
 @query
 def stream_late_calls(spark, sf_dir):
     """Late calls by the event time of their own area, while another area runs hours ahead."""
-    root = _slot_topology(spark, sf_dir, T.out_of_order(T.calls_of(T.event_files(spark, sf_dir))))
+    root = _slot_topology(spark, sf_dir, T.out_of_order(_sliced(spark, sf_dir)))
     return live.late_view(spark, root).select("call_id", "location.area_name", F.unix_micros("ts").alias("ts_micros"),
                                               "arrived_in")
 
@@ -550,7 +596,7 @@ def stream_late_calls(spark, sf_dir):
 @query
 def stream_late_counts(spark, sf_dir):
     """Late and timely calls of each micro-batch and area."""
-    root = _slot_topology(spark, sf_dir, T.out_of_order(T.calls_of(T.event_files(spark, sf_dir))))
+    root = _slot_topology(spark, sf_dir, T.out_of_order(_sliced(spark, sf_dir)))
     return live.late_counts(spark, root)
 
 

@@ -297,6 +297,17 @@ _SQL = {
         CAST(date_reported AS VARCHAR) AS date_reported, CAST(date_occured AS VARCHAR) AS date_occured,
         time_occured, crime_description, victim_age, victim_sex, street_address, lat, lon,
         occurrence_year, report_year, status_resolution FROM incidents"""),
+    "batch_gold": (METRICS, " UNION ALL ".join(
+        [f"SELECT '{name}' AS collection, count(*) AS n, CAST(sum(id) AS BIGINT) AS total FROM incidents" for name in (
+            "gold_business_metrics", "gold_crime_categorization", "gold_categorical_standardization", "gold_data_quality",
+            "gold_geographic_enrichment", "gold_time_dimensions")]
+        + ["SELECT 'gold_bm_area_summary', count(*), CAST(sum(area_id) AS BIGINT) FROM tiers",
+           "SELECT 'gold_bm_yoy_crime_trends', count(*), CAST(sum(yearly_crime_count) AS BIGINT) FROM risks",
+           "SELECT 'gold_bm_reporting_lag', count(DISTINCT area_name), count(*) FROM incidents WHERE reporting_lag_days BETWEEN 0 AND 365",
+           f"SELECT 'gold_bm_reporting_speed', count(DISTINCT speed), count(*) FROM (SELECT {SPEED} AS speed FROM incidents)",
+           "SELECT 'gold_crime_count_by_year', count(DISTINCT occurrence_year), count(*) FROM incidents"])),
+    "published_trends": (METRICS, """SELECT area_id, area_name, occurrence_year, yearly_crime_count,
+        yoy_crime_change_pct, crime_trend, area_risk_score, area_risk_level, true AS indexed_at FROM risks"""),
     "raw_csv_headers": (INCIDENTS, " UNION ALL ".join(
         f"""SELECT '{','.join(names)}' AS header, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids,
         {"count(status)" if "Status" in names else "0::BIGINT"} AS statuses

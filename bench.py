@@ -14,8 +14,8 @@ from wardlens.session import build_session
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-# Streams write state and results on every run, so they run once.
-ONCE = ("stream_", "raw_csv", "daily_")
+# Streams and whole batch runs write their results on every run, so they run once.
+ONCE = ("stream_", "raw_csv", "daily_", "batch_")
 
 
 def seconds(action) -> float:

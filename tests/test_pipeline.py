@@ -7,6 +7,7 @@ from wardlens.functions.rules import RAW_TO_CLEAN
 from wardlens.plans import run_batch
 from wardlens.session import materialize, scratch_dir
 from wardlens.sinks import write_daily_csv, write_gold, write_upserts
+from wardlens.streaming import read_daily_csv, write_daily_batch
 from wardlens.sources import (
     Lake, land_raw, load_area_stats, read_calls_stream, read_metrics, read_raw, read_silver,
 )
@@ -147,3 +148,33 @@ def test_raw_columns_follow_each_files_header(spark, tmp_path):
         assert set(rows) == {1, 2}
         assert (rows[1]["AREA NAME"], rows[1]["TIME OCC"], rows[1]["LOCATION"]) == ("Central", 10, None)
         assert (rows[2]["AREA NAME"], rows[2]["TIME OCC"], rows[2]["LOCATION"]) == ("Harbor", 11, 'he said "hi, you"')
+
+
+def test_a_drop_without_rows_passes(spark, tmp_path):
+    (tmp_path / "drop").mkdir()
+    (tmp_path / "drop" / "a.csv").write_text(HEADER + "\n")
+    lake = Lake(str(tmp_path))
+    run_batch(spark, lake, str(tmp_path / "drop"))
+    assert read_silver(spark, lake).count() == 0 and "occurrence_year" in read_silver(spark, lake).columns
+    assert {spark.read.parquet(lake.gold(name)).count() for name in GOLD} == {0}
+
+
+def test_daily_csv_of_a_stream_survives_replays(spark, tmp_path):
+    path, schema = str(tmp_path / "daily"), "call_id string, timestamp string"
+    rows = lambda *pairs: spark.createDataFrame(list(pairs), schema)
+    first = rows(("a", "2024-01-01T10:00:00"), ("b", "2024-01-02T10:00:00"), ("c", "?"))
+    write_daily_batch(first, 0, path)
+    write_daily_batch(rows(("d", "2024-01-02T11:00:00")), 1, path)
+    expected = {("a", "20240101", 0), ("b", "20240102", 0), ("c", None, 0), ("d", "20240102", 1)}
+    view = lambda: [tuple(r) for r in read_daily_csv(spark, path, first.schema).select("call_id", "call_date", "batch_id").collect()]
+    assert set(view()) == expected and len(view()) == 4
+    write_daily_batch(first, 0, path)  # replayed
+    assert set(view()) == expected and len(view()) == 4
+    # An attempt that died left files, also in a day that the replay has no calls of.
+    left = rows(("b", "2024-01-02T10:00:00"), ("z", "2024-01-05T10:00:00")).selectExpr("*", "'20240105' call_date", "2 batch_id")
+    left.write.mode("append").partitionBy("call_date", "batch_id").option("header", True).csv(path)
+    assert set(view()) == expected
+    write_daily_batch(rows(("e", "2024-01-03T10:00:00")), 2, path)
+    assert set(view()) == expected | {("e", "20240103", 2)}
+    write_daily_batch(first.limit(0), 3, path)
+    assert len(view()) == 5

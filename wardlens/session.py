@@ -38,6 +38,10 @@ def limit_generated_methods(spark: SparkSession) -> None:
         spark.conf.set(key, SETTINGS[key])
 
 
+#: Temporary folders of local applications that name no folder.
+_LOCAL: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, unique to this application.
 
@@ -49,8 +53,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="wardlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="wardlens-")
+        base = _LOCAL[context.applicationId]
     return f"{base.rstrip('/')}/wardlens-{context.applicationId}"
 
 

@@ -69,8 +69,17 @@ def read_raw(spark: SparkSession, path: str | list[str], **options: str) -> Data
     return spark.createDataFrame([], RAW_INCIDENT) if found is None else found
 
 
+def silver_schema(spark: SparkSession) -> T.StructType:
+    """Columns of cleaned incidents; the partition column comes last, as in files."""
+    from wardlens.operators.incidents import clean_incidents
+
+    schema = clean_incidents(spark.createDataFrame([], RAW_INCIDENT)).schema
+    return T.StructType([f for f in schema if f.name != "occurrence_year"] + [schema["occurrence_year"]])
+
+
 def read_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.parquet(lake.silver)
+    """Cleaned incidents; the declared schema also holds where a drop had no rows or no dates."""
+    return spark.read.schema(silver_schema(spark)).parquet(lake.silver)
 
 
 def read_metrics(spark: SparkSession, lake: Lake, name: str) -> DataFrame:

@@ -22,6 +22,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -78,11 +79,15 @@ def _write_batch(batch: DataFrame, batch_id: int, root: str, stats: DataFrame, d
         return
     reach = F.expr(f"INTERVAL '{S.REACH}' MINUTE")
     near = slots_view(spark, root).filter(F.col("slot_start").between(F.lit(low) - reach, F.lit(high) + reach))
+    near.persist(StorageLevel.MEMORY_AND_DISK)  # all monitors read it: a row per area and slot
     first, last = F.unix_millis(F.lit(low)), F.unix_millis(F.lit(high) + reach)
-    for name, windows in _monitors(near, stats, start_ts).items():
-        # All of a window's slots are at hand: it begins after ``low - reach`` and ends by ``high + reach``.
-        touched = windows.filter((F.col("window_stop") > first) & (F.col("window_stop") <= last))
-        write_upserts(M.with_result_key(touched), batch_id, f"{root}/{name}", "result_key")
+    try:
+        for name, windows in _monitors(near, stats, start_ts).items():
+            # All of a window's slots are at hand: it begins after ``low - reach`` and ends by ``high + reach``.
+            touched = windows.filter((F.col("window_stop") > first) & (F.col("window_stop") <= last))
+            write_upserts(M.with_result_key(touched), batch_id, f"{root}/{name}", "result_key")
+    finally:
+        near.unpersist()
 
 
 def start_slot_monitors(calls: DataFrame, stats: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
