@@ -11,8 +11,9 @@ with company go on. A crowded key is verified in pairs of blocks; jobs return co
 spanning edges, never pairs.
 
 Special cases: vectors that are null, empty, zero or hold null or non-finite components, and rows
-with a null label, link with nothing; vectors of different length are never compared; rows that repeat
-a ``vec_id`` with the same vector and label are vectors of their own, but share results.
+with a null label, link with nothing; vectors of different length are never compared; each row is a vector of
+its own, also if its ``vec_id`` is null or occurs again, with the same vector or another. Components are
+named by the least ``vec_id`` that isn't null; a row without one is kept only where no other name exists.
 """
 
 from __future__ import annotations
@@ -76,19 +77,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def vector_classes(vectors: DataFrame) -> DataFrame:
-    """class (least vec_id), copies, label, size, embedding of all vectors that can link."""
+    """least (vec_id), copies, label, embedding of all distinct vectors that can link."""
     values = F.transform("embedding", lambda x: x.cast("double"))
     good = vectors.select("vec_id", "label", values.alias("embedding")).filter(
         "label IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0"
         " AND forall(embedding, x -> x IS NOT NULL AND x = x AND abs(x) < double('Infinity'))"
         " AND exists(embedding, x -> x <> 0)")
-    return good.groupBy("label", "embedding").agg(F.min("vec_id").alias("class"), F.count("*").alias("copies"))
+    return good.groupBy("label", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
 
 
 def linked_vectors(classes: DataFrame, options: ItqOptions) -> tuple[DataFrame, DataFrame]:
     """(class, n): linked vectors of other classes; and spanning edges (a, b)."""
     dimension = classes.agg(F.max(F.size("embedding"))).first()[0] or 1
-    sample = classes.orderBy(F.xxhash64("class"), "class").limit(options.sample).select("embedding").toArrow()
+    sample = classes.orderBy(F.xxhash64("label", "embedding"), "label", "embedding").limit(options.sample).select("embedding").toArrow()
     rows = [r for r in sample.column("embedding").to_pylist() if len(r) == dimension]
     projections = learn_rotations(_unit(np.array(rows)) if rows else np.empty((0, dimension)), options)
 
@@ -174,15 +175,18 @@ def linked_vectors(classes: DataFrame, options: ItqOptions) -> tuple[DataFrame,
 def near_vectors(vectors: DataFrame, options: ItqOptions = ItqOptions()) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
     ship_package(vectors.sparkSession)
-    classes = materialize(vector_classes(vectors), "itq-classes")
+    # Classes are numbered in the written table; ids of rows aren't unique.
+    classes = materialize(vector_classes(vectors).withColumn("class", F.monotonically_increasing_id()), "itq-classes")
     counts, edges = linked_vectors(classes, options)
     components = connected_components(edges, "itq-components").withColumnRenamed("node", "class")
-    # A class is named by its least vec_id, so components of classes are those of vectors.
-    judged = classes.join(counts, "class", "left").join(components, "class", "left").select(
-        "label", "embedding", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "class").alias("component_id"))
+    placed = classes.join(counts, "class", "left").join(components, "class", "left").withColumn(
+        "component", F.coalesce("component", "class"))
+    names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    judged = placed.join(names, "component").select(
+        "label", "embedding", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id",
+        F.lit(True).alias("judged"))
     values = F.transform("embedding", lambda x: x.cast("double"))
     joined = vectors.select("vec_id", "label", values.alias("embedding")).join(judged, ["label", "embedding"], "left")
+    name = F.when(F.col("judged"), F.col("component_id")).otherwise(F.col("vec_id"))
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                         F.coalesce("component_id", "vec_id").alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+                         name.alias("component_id")).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
