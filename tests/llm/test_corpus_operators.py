@@ -338,12 +338,24 @@ def test_templates_catch_other_numbers_and_need_consistent_slots(spark):
             (6, item, "s"), (6, item, "s"), (None, item, "s")]
     items = spark.createDataFrame([(7, item), (8, None), (9, "too short")], "item_id long, text string")
     found = {r.doc_id: r for r in decontaminate.contaminated(documents(spark, rows), items).collect()}
-    assert sorted(found) == [1, 2, 6] and found[1].exact and not found[2].exact and found[6].item_id == 7
+    assert set(found) == {1, 2, 6, None} and found[None].exact and found[1].exact and not found[2].exact and found[6].item_id == 7
     kept = decontaminate.drop_contaminated(documents(spark, rows), items).collect()
-    assert collections.Counter(r.doc_id for r in kept) == collections.Counter([3, 4, 5, None])
+    assert collections.Counter(r.doc_id for r in kept) == collections.Counter([3, 4, 5])
     assert decontaminate.contaminated(documents(spark, []), items).count() == 0
 
 
+def test_texts_without_ids_are_judged_one_by_one(spark):
+    item = "the old farmer has 12 apples and gives 5 apples to each child so how many apples of 12 are left at noon"
+    clean = "a clean text without any of these things in it at all"
+    rows = [(None, item, "s"), (None, f"Look: {item}", "s"), (None, item, "s"), (None, clean, "s"), (None, None, "s"), (1, item, "s"), (2, clean, "s")]
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = decontaminate.contaminated(documents(spark, rows), items)
+    assert "text_key" not in found.columns
+    assert sorted((r.doc_id or 0, r.item_id) for r in found.collect()) == [(0, 7), (0, 7), (1, 7)]
+    kept = decontaminate.drop_contaminated(documents(spark, rows), items).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (0, clean), (2, clean)]
+
+
 def test_templates_find_a_copy_beside_variants(spark):
     item = "the old farmer has 12 apples and gives 5 apples to each child so how many apples of 12 are left at noon"
     variant, mixed = item.replace("12", "40").replace("5", "8"), item.replace("12", "40", 1)

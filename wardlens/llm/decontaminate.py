@@ -19,7 +19,7 @@ Special cases: null and empty texts have no windows; items with fewer than ``wid
 window of their own length, those with fewer than ``least_words`` one of the words themselves only; template
 windows with fewer than ``least_literals`` words that are no placeholders and windows of words without a
 letter or digit count nowhere; of rows that share a
-``doc_id`` each text is judged by itself and the best reported, those without one not at all;
+``doc_id`` each text is judged by itself and the best reported, those without one by their texts, a row for each;
 repeated items are reported each.
 """
 
@@ -31,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlens.llm.common import mix64, ship_package, slices, split_words, window_sums, word_hashes
@@ -206,7 +206,7 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, widths: list[int], opt
                          pa.array(hashes.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
                         names=["doc_id", "key", "place", "hash", "slots"])
 
-    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").filter("doc_id IS NOT NULL").mapInArrow(
+    return docs.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(
         cut, "doc_id long, key long, place long, hash long, slots array<string>")
 
 
@@ -281,11 +281,8 @@ def judge_item(hits: list[dict], template_places: set[int], n_exact: int,
     return matched, n_exact, exact
 
 
-def contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
-    """doc_id, item_id, n_matched, n_windows, coverage and exact for each leaked item.
-
-    ``exact`` tells whether all slots hold the item's own values.
-    """
+def leaked_items(docs: DataFrame, items: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
+    """Rows of ``contaminated`` with ``text_key``, which is null for documents with a ``doc_id``."""
     ship_package(docs.sparkSession)
     cut = materialize(item_windows(items, options), "item-windows")
     sizes = cut.groupBy("item_no").agg(F.count_if(~F.col("exact")).alias("n_template"), F.count_if("exact").alias("n_exact"),
@@ -305,19 +302,35 @@ def contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = T
             judged = [judge_item(batch.column("hits")[k].as_py(), set(batch.column("template_places")[k].as_py()), n, options)
                       for k, n in enumerate(batch.column("n_exact").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "item_id", "item_no")), *(
+                [*(batch.column(c) for c in ("doc_id", "key", "item_id", "item_no")), *(
                     pa.array([j[k] for j in judged], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_())))],
-                names=["doc_id", "item_id", "item_no", "n_matched", "n_windows", "exact"])
-
-    judged = marked.select("doc_id", "item_id", "item_no", "template_places", "n_exact", "hits").mapInArrow(
-        judge, "doc_id long, item_id long, item_no long, n_matched long, n_windows long, exact boolean")
-    best = judged.filter((F.col("n_windows") > 0) & (F.col("n_matched") >= options.coverage * F.col("n_windows"))).groupBy(
-        "doc_id", "item_id", "item_no").agg(F.max(F.struct("n_matched", "n_windows", "exact")).alias("best"))
-    return best.select("doc_id", "item_id", "best.n_matched", "best.n_windows",
+                names=["doc_id", "key", "item_id", "item_no", "n_matched", "n_windows", "exact"])
+
+    judged = marked.select("doc_id", "key", "item_id", "item_no", "template_places", "n_exact", "hits").mapInArrow(
+        judge, "doc_id long, key long, item_id long, item_no long, n_matched long, n_windows long, exact boolean")
+    best = (judged.filter((F.col("n_windows") > 0) & (F.col("n_matched") >= options.coverage * F.col("n_windows")))
+            .withColumn("text_key", _text_key(F.col("key"))).groupBy("doc_id", "text_key", "item_id", "item_no")
+            .agg(F.max(F.struct("n_matched", "n_windows", "exact")).alias("best")))
+    return best.select("doc_id", "text_key", "item_id", "best.n_matched", "best.n_windows",
                        (F.col("best.n_matched") / F.col("best.n_windows")).alias("coverage"), "best.exact")
 
 
+def _text_key(key: Column) -> Column:
+    """Texts without a ``doc_id`` are told apart by their hash."""
+    return F.when(F.col("doc_id").isNull(), key)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
+    """doc_id, item_id, n_matched, n_windows, coverage and exact for each leaked item.
+
+    ``exact`` tells whether all slots hold the item's own values. Texts without a ``doc_id`` have a row each.
+    """
+    return leaked_items(docs, items, options).drop("text_key")
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
     """Documents without a leaked item, with the columns of ``documents``."""
-    leaked = materialize(contaminated(docs, items, options).select("doc_id").distinct(), "leaked")
-    return docs.select("doc_id", "text", "lang", "source", "n_chars").join(leaked, "doc_id", "left_anti")
+    leaked = materialize(leaked_items(docs, items, options).select(
+        F.col("doc_id").alias("leaked_id"), F.col("text_key").alias("leaked_key")).distinct(), "leaked")
+    same = F.col("doc_id").eqNullSafe(F.col("leaked_id")) & _text_key(F.xxhash64("text")).eqNullSafe(F.col("leaked_key"))
+    return docs.select("doc_id", "text", "lang", "source", "n_chars").join(leaked, same, "left_anti")
