@@ -34,4 +34,4 @@ def test_stages(spark):
 
 def test_queries_are_complete():
     assert sorted(queries(), key=lambda n: int(n[2:].split("_")[0])) == [n for n in sorted(
-        queries(), key=lambda n: int(n[2:].split("_")[0]))] and len(queries()) == 10
+        queries(), key=lambda n: int(n[2:].split("_")[0]))] and len(queries()) == 13
