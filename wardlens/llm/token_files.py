@@ -1,7 +1,9 @@
 """Token files (operator 1): ids coded by a static range asymmetric numeral system (rANS).
 
-1. Documents are dealt into ranges of ``doc_id``, sorted, and encoded by a public tokenizer. Since
-   the tokenizer never joins what white space separates, each distinct word is encoded once.
+1. Documents are dealt into ranges of ``doc_id``, sorted, and encoded by a public tokenizer, which
+   never joins what white space separates. So words are encoded, not texts: tasks report the words
+   they meet, the ones that most tasks meet are encoded once for all (a bounded table that all tasks
+   get), and a task encodes only the others, each once as long as it has room for them.
 2. One frequency table is counted over all ids; its size is bounded by the vocabulary.
 3. Ids are coded in independent blocks of whole documents, each with interleaved lanes. A block holds
    checkpoints (the lanes' states at some steps), so that parts of it decode alone, and checksums.
@@ -22,13 +24,15 @@ from __future__ import annotations
 
 import os
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,8 +43,10 @@ from wardlens.session import materialize, scratch_dir
 SCALE_BITS = 20
 LOW = 1 << 31           # states stay in LOW .. 2^63 - 1
 HEADER = struct.Struct("<4s8I")
-#: Words that a Python worker remembers between batches and tasks; beyond, those that came once go.
-CACHE_WORDS = 400_000
+#: Words that most tasks meet are encoded once for all: so many at most, each of so many bytes at most.
+SHARED_WORDS, SHARED_BYTES = 1 << 18, 32
+#: Other words that a Python worker remembers between batches and tasks, at most; then they go.
+CACHE_WORDS = 200_000
 #: Text encoded at once.
 ENCODED_BYTES = 2 << 20
 
@@ -156,85 +162,102 @@ class Coder:
 # ---- tokenizer -------------------------------------------------------------------------------
 
 class _Words:
-    """Ids of words seen by this Python worker, flat, with a place for each word."""
+    """Ids of words: those that all tasks share, then a bounded number that this worker met.
 
-    def __init__(self, path: str) -> None:
+    Words are looked up by an Arrow hash join; place 0 is the end id, place k + 1 word k.
+    """
+
+    def __init__(self, path: str, end_id: int) -> None:
         # Tasks are the parallelism; threads of the library would only add memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.sizes = np.zeros(1 << 14, np.int32)
-        self.again = np.zeros(1 << 14, bool)
+        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        #: A special token that stands between words, so that many are encoded as one text.
+        self.mark = next(((k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items()
+                          if t.special and not (t.lstrip or t.rstrip or t.normalized or t.single_word)), None)
+        self.source: str | None = None
+        self.share(None, b"")
+
+    def share(self, source: str | None, table: bytes) -> None:
+        """Begin with the words (word, ids) of an Arrow stream."""
+        names, ids = pa.array([], pa.string()), []
+        if table:
+            found = pa.ipc.open_stream(table).read_all().combine_chunks()
+            names = pa.concat_arrays(found.column("word").chunks) if found.num_rows else names
+            ids = [np.frombuffer(x, "<u4") for x in found.column("ids").to_pylist()]
+        self.source = source
+        self.base = (names, np.concatenate([np.array([self.end_id], np.uint32), *ids]), np.array([1, *map(len, ids)], np.int32))
+        self.forget()
 
     def forget(self) -> None:
-        """Drop words that didn't come again since the last time; all, if that leaves too many."""
-        count = len(self.place)
-        keep, sizes = np.flatnonzero(self.again[:count]), self.sizes[:count]
-        if len(keep) > CACHE_WORDS // 2:
-            keep = keep[:0]
-        words = list(compress(self.place, self.again[:count].tolist())) if len(keep) else []
-        n, first = sizes[keep], np.cumsum(sizes, dtype=np.int64) - sizes
-        flat = self.flat[np.repeat(first[keep] - (np.cumsum(n, dtype=np.int64) - n), n) + np.arange(n.sum())]
-        self.clear()
-        self.place.update(zip(words, range(len(words))))
-        self.store(flat, n, 0)
-
-    def store(self, ids: np.ndarray, sizes: np.ndarray, first: int) -> None:
-        """Append the ids of words whose places start at ``first``."""
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while first + len(sizes) > len(self.sizes):
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.sizes[first:first + len(sizes)] = sizes
-        self.used += len(ids)
-
-    def add(self, words: list[str]) -> None:
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        first = len(self.place)
-        self.place.update(zip(words, range(first, first + len(words))))
-        self.store(np.fromiter(chain.from_iterable(coded), np.uint32), np.fromiter(map(len, coded), np.int32, len(coded)), first)
-
-    def places(self, words: list[str]) -> np.ndarray:
-        found = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
-        new = np.flatnonzero(found < 0)
-        if len(self.place) + len(new) > CACHE_WORDS:
+        """Drop the words met."""
+        self.names, self.flat, self.sizes = self.base
+        self.first = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids of each word)."""
+        ids, sizes = [], []
+        for k in range(0, len(words), 10_000):
+            part = words[k:k + 10_000]
+            if self.mark:
+                number, mark = self.mark
+                texts = [f" {mark} ".join(part[i:i + 200]) + f" {mark}" for i in range(0, len(part), 200)]
+                coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+                found = np.fromiter(chain.from_iterable(e.ids for e in coded), np.uint32)
+                ends = np.flatnonzero(found == number)
+                if len(ends) == len(part):
+                    ids.append(found[found != number])
+                    sizes.append(np.diff(ends, prepend=-1) - 1)
+                    continue
+            # No such token, or words that hold it.
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(each), np.uint32))
+            sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        empty = np.empty(0, np.int64)
+        return np.concatenate([empty.astype(np.uint32), *ids]), np.concatenate([empty, *sizes])
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        found = pc.index_in(words, self.names)
+        if found.null_count and len(self.names) - len(self.base[0]) + found.null_count > CACHE_WORDS:
             self.forget()
-            found = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
-            new = np.flatnonzero(found < 0)
-        self.again[found[found >= 0]] = True
-        found[new] = np.arange(len(self.place), len(self.place) + len(new))
-        for k in range(0, len(new), 10_000):
-            self.add([words[i] for i in new[k:k + 10_000].tolist()])
-        return found
+            found = pc.index_in(words, self.names)
+        new = pc.is_null(found)
+        places = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        if found.null_count:
+            new_words = words.filter(new)
+            ids, sizes = self.encode(new_words.to_pylist())
+            places[places == 0] = np.arange(len(new_words)) + len(self.names) + 1
+            self.names = pa.concat_arrays([self.names, new_words])
+            self.flat = np.concatenate([self.flat, ids])
+            self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+            self.first = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        return places
 
 
 _WORDS: dict[str, _Words] = {}
 REMEMBERED.append(_WORDS)
 
 
+def _known(path: str, end_id: int) -> _Words:
+    if path not in _WORDS or _WORDS[path].end_id != end_id:
+        _WORDS[path] = _Words(path, end_id)
+    return _WORDS[path]
+
+
 def encode_texts(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, ids of each text); the end id closes every text."""
-    if path not in _WORDS:
-        _WORDS[path] = _Words(path)
-    known = _WORDS[path]
+    known = _known(path, end_id)
     codes, ends, words = split_words(texts)
-    codes = known.places(words.to_pylist())[codes] if len(words) else codes
-    n = known.sizes[codes]
-    first = (np.cumsum(known.sizes[:len(known.place)], dtype=np.int64) - known.sizes[:len(known.place)])[codes]
-    # Texts' ends come after their last word's ids.
+    places = known.places(words)[codes] if len(words) else codes
+    # The end id stands as a word of its own behind each text's last one.
+    places = np.insert(places, ends[1:], 0)
+    borders = ends + np.arange(len(ends))
+    n = known.sizes[places]
     after = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
-    shift = (first - after[:-1]).astype(np.int32)
+    shift = (known.first[places] - after[:-1]).astype(np.int32)
     ids = known.flat[np.repeat(shift, n) + np.arange(after[-1], dtype=np.int32)]
-    borders = after[ends]
-    return np.insert(ids, borders[1:], end_id), np.diff(borders) + 1
+    return ids, np.diff(after[borders])
 
 
 def _packed(ids: np.ndarray) -> bytes:
@@ -248,9 +271,59 @@ def _unpacked(ids: bytes, n_tokens: int) -> np.ndarray:
 
 # ---- Spark jobs ------------------------------------------------------------------------------
 
+def word_spread(docs: DataFrame) -> DataFrame:
+    """(word, n): how many tasks, or runs of ``CACHE_WORDS`` words in a task, meet a word; from 2 on."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = pa.array([], pa.string())
+        for batch in batches:
+            for piece in slices(batch, "text", _WORDS):
+                words = split_words(piece.column("text"))[2]
+                if len(words):
+                    words = words.filter(pc.less_equal(pc.binary_length(words), SHARED_BYTES))
+                    met = pa.concat_arrays([met, words.filter(pc.invert(pc.is_in(words, met)))])
+                if len(met) > CACHE_WORDS:
+                    yield pa.RecordBatch.from_arrays([met], names=["word"])
+                    met = met[:0]
+        yield pa.RecordBatch.from_arrays([met], names=["word"])
+
+    return docs.select("text").mapInArrow(meet, "word string").groupBy("word").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def shared_words(docs: DataFrame, options: TokenOptions) -> bytes:
+    """Arrow stream (word, ids) of at most ``SHARED_WORDS`` words, those that most tasks meet.
+
+    Which words these are decides how much is encoded twice, never what the ids are.
+    """
+    # Levels of 8 steps to a doubling: a few hundred rows at most.
+    spread = materialize(word_spread(docs).select("word", F.floor(8 * F.log2("n")).cast("int").alias("level")), "token-spread")
+    levels, room, least = spread.groupBy("level").count().collect(), SHARED_WORDS, 0
+    for level, n in sorted(map(tuple, levels), reverse=True):
+        least = level
+        if n > room:
+            break
+        room -= n
+    chosen = spread.filter(F.col("level") > least).union(spread.filter(F.col("level") == least).limit(room))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sizes = _known(options.tokenizer, options.end_id).encode(batch.column("word").to_pylist())
+            raw, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum([0, *sizes.tolist()])
+            coded = [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(coded, pa.binary())], names=["word", "ids"])
+
+    coded = materialize(chosen.select("word").mapInArrow(encode, "word string, ids binary"), "token-words").toArrow()
+    schema, out = pa.schema([("word", pa.string()), ("ids", pa.binary())]), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, schema) as stream:
+        stream.write_table(coded.cast(schema))
+    return out.getvalue().to_pybytes()
+
+
 def encode_documents(docs: DataFrame, options: TokenOptions) -> DataFrame:
     """Blocks of whole documents in ascending doc_id order: part, block, doc_ids, sizes, ids."""
     ship_package(docs.sparkSession)
+    source = uuid.uuid4().hex
+    words = docs.sparkSession.sparkContext.broadcast(shared_words(docs, options))
     given = docs.select("doc_id", "text").withColumn("digest", F.xxhash64("text"))
     ordered = given.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest").drop("digest")
 
@@ -268,6 +341,9 @@ def encode_documents(docs: DataFrame, options: TokenOptions) -> DataFrame:
 
         for batch in batches:
             for piece in slices(batch, "text", _WORDS, ENCODED_BYTES):
+                known = _known(options.tokenizer, options.end_id)
+                if known.source != source:
+                    known.share(source, words.value)
                 found, counts = encode_texts(piece.column("text"), options.tokenizer, options.end_id)
                 before = np.concatenate([[0], np.cumsum(counts)])
                 names, first = piece.column("doc_id").to_pylist(), 0
@@ -371,8 +447,6 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_folder(spark: SparkSession) -> str:
-    import uuid
-
     return f"{scratch_dir(spark)}/tokens-{uuid.uuid4().hex}"
 
 
