@@ -44,11 +44,11 @@ SCALE_BITS = 20
 LOW = 1 << 31           # states stay in LOW .. 2^63 - 1
 HEADER = struct.Struct("<4s8I")
 #: Words that most tasks meet are encoded once for all: so many at most, each of so many bytes at most.
-SHARED_WORDS, SHARED_BYTES = 1 << 18, 32
+SHARED_WORDS, SHARED_BYTES = 1 << 20, 32
 #: Other words that a Python worker remembers between batches and tasks, at most; then they go.
 CACHE_WORDS = 200_000
-#: Text encoded at once.
-ENCODED_BYTES = 2 << 20
+#: Text encoded at once, about.
+ENCODED_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -269,6 +269,19 @@ def _unpacked(ids: bytes, n_tokens: int) -> np.ndarray:
     return np.frombuffer(ids, "<u2" if len(ids) == 2 * n_tokens else "<u4").astype(np.int64)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches put together until they hold ``size`` bytes of ``column``."""
+    held, room = [], size
+    for batch in batches:
+        held.append(batch)
+        room -= batch.column(column).nbytes
+        if room <= 0:
+            yield pa.concat_batches(held)
+            held, room = [], size
+    if held:
+        yield pa.concat_batches(held)
+
+
 # ---- Spark jobs ------------------------------------------------------------------------------
 
 def word_spread(docs: DataFrame) -> DataFrame:
@@ -276,8 +289,8 @@ def word_spread(docs: DataFrame) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = pa.array([], pa.string())
-        for batch in batches:
-            for piece in slices(batch, "text", _WORDS):
+        for batch in gathered(batches, "text", ENCODED_BYTES):
+            for piece in slices(batch, "text", _WORDS, 2 * ENCODED_BYTES):
                 words = split_words(piece.column("text"))[2]
                 if len(words):
                     words = words.filter(pc.less_equal(pc.binary_length(words), SHARED_BYTES))
@@ -339,8 +352,8 @@ def encode_documents(docs: DataFrame, options: TokenOptions) -> DataFrame:
                  pa.array([_packed(np.concatenate(ids))], pa.binary())],
                 names=["part", "block", "n_tokens", "doc_ids", "sizes", "ids"])
 
-        for batch in batches:
-            for piece in slices(batch, "text", _WORDS, ENCODED_BYTES):
+        for batch in gathered(batches, "text", ENCODED_BYTES):
+            for piece in slices(batch, "text", _WORDS, 2 * ENCODED_BYTES):
                 known = _known(options.tokenizer, options.end_id)
                 if known.source != source:
                     known.share(source, words.value)
