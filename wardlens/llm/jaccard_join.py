@@ -36,6 +36,8 @@ from wardlens.session import materialize
 
 #: Bits of a shingle's hash; at least LOW_BITS of them are packed, the bucket tells the others.
 HASH_BITS, LOW_BITS = 54, 48
+#: Shingles of a bucket, and classes of a bin of small clusters: tasks' groups don't grow with the input.
+BUCKET_SHINGLES, BIN_CLASSES = 1 << 17, 64
 
 
 @dataclass(frozen=True)
@@ -310,8 +312,9 @@ def verify_jobs(jobs: DataFrame, options: JaccardOptions) -> DataFrame:
 def _jobs(members: DataFrame, options: JaccardOptions) -> DataFrame:
     """First round: every block of a cluster against its block 0 and itself.
 
-    Small clusters share bins, so that tasks aren't too small.
+    Small clusters share bins, so that tasks aren't too small; there are as many as members ask for.
     """
+    bins = max(512, members.count() // BIN_CLASSES)
     blocks = F.expr(f"(members + {options.block - 1}) div {options.block}")
     placed = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class", F.lit(1)), "blocks"))
     jobs = F.when(F.col("block") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(
@@ -319,7 +322,7 @@ def _jobs(members: DataFrame, options: JaccardOptions) -> DataFrame:
     # Job j < blocks: block 0 against block j; job blocks + j: block j against itself.
     dealt = placed.withColumn("j", F.explode(jobs)).withColumn("job", F.xxhash64("cluster", "j"))
     return dealt.select(
-        F.when(F.col("blocks") == 1, F.pmod("job", F.lit(512))).otherwise(F.col("job")).alias("bin"), "job",
+        F.when(F.col("blocks") == 1, F.pmod("job", F.lit(bins))).otherwise(F.col("job")).alias("bin"), "job",
         ((F.col("block") == 0) | (F.col("j") >= F.col("blocks"))).alias("left"),
         ((F.col("block") == F.col("j")) | (F.col("j") >= F.col("blocks"))).alias("right"), "class", "n", "tokens")
 
@@ -342,9 +345,9 @@ def _second_jobs(members: DataFrame, options: JaccardOptions) -> DataFrame:
     return as_right.unionByName(as_left).withColumn("bin", F.col("job"))
 
 
-def link_classes(docs: DataFrame, rows: int, options: JaccardOptions) -> DataFrame:
-    """(class, component) of the classes that link with others."""
-    bits = max(6, min(14, int(rows // 4096).bit_length()))
+def link_classes(docs: DataFrame, shingles: int, options: JaccardOptions) -> DataFrame:
+    """(class, component) of the classes that link with others; the documents hold ``shingles`` in all."""
+    bits = max(HASH_BITS - LOW_BITS, (shingles // BUCKET_SHINGLES).bit_length())
     sets = materialize(shared_shingles(docs, options, bits), "jaccard-sets")
     index = materialize(sets.select("class", F.explode("signatures").alias("signature")), "jaccard-index")
     groups = index.groupBy("signature").agg(F.min("class").alias("center"), F.count("*").alias("n")).filter("n > 1")
@@ -368,7 +371,8 @@ def near_duplicates(docs: DataFrame, options: JaccardOptions = JaccardOptions())
     """doc_id, n_shingles and component_id of every document."""
     ship_package(docs.sparkSession)
     sets = materialize(document_sets(docs, options), "jaccard-documents")
-    linked = link_classes(docs, sets.count(), options)
+    shingles = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    linked = link_classes(docs, shingles, options)
     least = sets.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     named = materialize(least.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class")), "jaccard-classes")
     best = named.groupBy("component").agg(F.min("least").alias("component_id"))
