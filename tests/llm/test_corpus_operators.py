@@ -93,6 +93,29 @@ def test_forgotten_words_change_no_ids(monkeypatch, most):
         assert ids.tolist() == sum(expected, []) and sizes.tolist() == list(map(len, expected))
 
 
+def test_shared_words_change_no_ids(spark, corpus, monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "_WORDS", {})
+    monkeypatch.setattr(token_files, "SHARED_WORDS", 50)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    raw = token_files.shared_words(documents(spark, corpus).repartition(4), token_files.TokenOptions(path))
+    shared = pa.ipc.open_stream(raw).read_all()
+    words = shared.column("word").to_pylist()
+    assert len(set(words)) == len(words) == 50
+    for word, ids in zip(words, shared.column("ids").to_pylist()):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(word, add_special_tokens=False).ids
+    token_files._known(path, 2).share("test", raw)
+    texts = [text for _, text, _ in corpus] + ["a <|endoftext|> b x<|endoftext|>y"]
+    ids, sizes = token_files.encode_texts(pa.array(texts), path, 2)
+    expected = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert ids.tolist() == sum(expected, []) and sizes.tolist() == list(map(len, expected))
+    batches = [pa.record_batch({"text": pa.array([t], pa.string())}) for t in ("a", "bb" * 50, None, "c")]
+    assert [b.num_rows for b in token_files.gathered(iter(batches), "text", 100)] == [2, 2]
+
+
 # ---- op 2 ----
 
 def brute_components(rows):
