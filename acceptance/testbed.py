@@ -245,8 +245,7 @@ def _once(lake: Lake, step: str, build: Callable[[], None]) -> None:
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = lake_of(spark, sf_dir)
-    _once(lake, "silver",
-          lambda: write_silver(with_case_columns(incident_rows(spark, sf_dir)), lake))
+    _once(lake, "silver", lambda: write_silver(with_case_columns(incident_rows(spark, sf_dir)), lake, rebalance=False))
     return read_silver(spark, lake)
 
 
