@@ -120,9 +120,7 @@ def status_resolution(spark, sf_dir):
 def raw_csv_cleaned(spark, sf_dir):
     """All incidents written as raw CSV, landed in bronze, read back and cleaned."""
     base = f"{scratch_dir(spark)}/raw-{uuid.uuid4().hex}"
-    (T.raw_incidents(spark, sf_dir).write.option("header", True)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(f"{base}/source"))
+    T.write_raw(T.raw_incidents(spark, sf_dir), f"{base}/source")
     lake = Lake(base)
     land_raw(spark, f"{base}/source", lake)
     return I.clean_incidents(read_raw(spark, lake.bronze)).select(
@@ -135,8 +133,7 @@ def raw_csv_cleaned(spark, sf_dir):
 def batch_gold(spark, sf_dir):
     """The whole batch run, from raw CSV to its eleven gold collections: their rows and a sum of each."""
     base = f"{scratch_dir(spark)}/batch-{uuid.uuid4().hex}"
-    (T.raw_incidents(spark, sf_dir).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/source"))
+    T.write_raw(T.raw_incidents(spark, sf_dir), f"{base}/source")
     lake = Lake(base)
     run_batch(spark, lake, f"{base}/source")
     sums = {
@@ -168,8 +165,7 @@ def raw_csv_headers(spark, sf_dir):
     raw = T.raw_incidents(spark, sf_dir)
     for k, names in enumerate(T.RAW_LAYOUTS):
         mine = raw.filter(F.col("DR_NO") % len(T.RAW_LAYOUTS) == k).select(*names)
-        (mine.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/source"))
+        T.write_raw(mine, f"{base}/source")
     found = None
     for header, files in files_by_header(spark, f"{base}/source").items():
         raw = read_raw(spark, files)

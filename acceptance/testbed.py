@@ -152,6 +152,12 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.col(clean).alias(raw) for raw, clean in RAW_TO_CLEAN.items()])
 
 
+def write_raw(rows: DataFrame, folder: str) -> None:
+    """Add ``rows`` to a folder of compressed CSV files with headers, texts as they are."""
+    (rows.write.mode("append").option("compression", "gzip").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(folder))
+
+
 def calls_of(events: DataFrame) -> DataFrame:
     """Calls from a batch or streaming frame of events."""
     rows = _select(events, CALL | SPARK_CALL)

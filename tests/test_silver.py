@@ -1,12 +1,14 @@
-"""Silver is written where its rows are made: no shuffle or sort of whole incidents."""
+"""Zones are written where their rows are made, without a shuffle of whole incidents, and compressed."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 
 from acceptance import testbed as T
 from wardlens.operators.incidents import with_case_columns
 from wardlens.sinks import tables
+from wardlens.sources import Lake, land_raw, read_raw
 
 
 @pytest.fixture
@@ -45,8 +47,33 @@ def test_years_beyond_the_open_files_are_written_too(spark, small_tables, tmp_pa
     monkeypatch.setattr(tables, "OPEN_YEARS", files)
     incidents = with_case_columns(T.incident_rows(spark, small_tables)).withColumn(
         "occurrence_year", (1900 + T.F.col("id") % 50).cast("int"))
-    lake = T.Lake(str(tmp_path / "lake"))
+    lake = Lake(str(tmp_path / "lake"))
     tables.write_silver(incidents.coalesce(1), lake, rebalance=False)
     back = spark.read.parquet(lake.silver)
     assert back.select("id", "occurrence_year").exceptAll(incidents.select("id", "occurrence_year")).isEmpty()
     assert back.count() == incidents.count()
+
+
+def _bytes(folder: str) -> int:
+    return sum(file.stat().st_size for file in Path(folder).rglob("part-*"))
+
+
+def test_bronze_is_compressed_part_by_part(spark, tmp_path):
+    header = "DR_NO,AREA NAME,Status"
+    lines = [f'{k},"Area, {k % 3}",AA' for k in range(4000)]
+    source = tmp_path / "plain.csv"
+    source.write_text("\n".join([header, *lines]) + "\n")
+    lake = Lake(str(tmp_path / "lake"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        land_raw(spark, str(source), lake)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    landed = [row.value for row in spark.read.text(lake.bronze).collect()]
+    parts = len(list(Path(lake.bronze).glob("part-*")))
+    assert parts > 1 and landed.count(header) == parts and sorted(set(landed) - {header}) == sorted(lines)
+    assert _bytes(lake.bronze) * 2 < source.stat().st_size
+    again = Lake(str(tmp_path / "again"))  # compressed files are landed and read like plain ones
+    land_raw(spark, lake.bronze, again)
+    ids = {row.DR_NO: row["AREA NAME"] for row in read_raw(spark, again.bronze).collect()}
+    assert ids == {k: f"Area, {k % 3}" for k in range(4000)}

@@ -13,7 +13,6 @@ from wardlens.session import materialize
 from wardlens.sources.heads import files_by_header
 from wardlens.sources.schemas import RAW_INCIDENT
 
-
 @dataclass(frozen=True)
 class Lake:
     """Folder layout below one root."""
@@ -39,7 +38,7 @@ def land_raw(spark: SparkSession, source: str, lake: Lake) -> None:
     """Copy the lines of raw CSV files into bronze, replacing what was there.
 
     Nothing is parsed: quotes and surplus fields arrive as they are. A large file is split over many
-    tasks, and each part starts with the header line of its file.
+    tasks, and each part starts with the header line of its file. Parts are compressed.
     """
     landed = None
     for header, files in files_by_header(spark, source).items():
@@ -50,7 +49,7 @@ def land_raw(spark: SparkSession, source: str, lake: Lake) -> None:
                                       .otherwise(F.array("value"))).alias("value"))
         landed = part if landed is None else landed.unionAll(part)
     if landed is not None:  # a union keeps its parts' partitions apart, so headers stay in front
-        landed.write.mode("overwrite").text(lake.bronze)
+        landed.write.mode("overwrite").option("compression", "gzip").text(lake.bronze)
 
 
 def read_raw(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
