@@ -3,10 +3,12 @@
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from acceptance import testbed as T
 from wardlens.operators.incidents import with_case_columns
+from wardlens.plans import batch
 from wardlens.sinks import tables
 from wardlens.sources import Lake, land_raw, read_raw
 
@@ -77,3 +79,25 @@ def test_bronze_is_compressed_part_by_part(spark, tmp_path):
     land_raw(spark, lake.bronze, again)
     ids = {row.DR_NO: row["AREA NAME"] for row in read_raw(spark, again.bronze).collect()}
     assert ids == {k: f"Area, {k % 3}" for k in range(4000)}
+
+
+def test_the_batch_run_does_not_shuffle_incidents_into_silver(spark, small_tables, tmp_path, monkeypatch):
+    asked, write = [], batch.write_silver
+
+    def noted(incidents, lake, rebalance=True):
+        asked.append(rebalance)
+        write(incidents, lake, rebalance)
+
+    monkeypatch.setattr(batch, "write_silver", noted)
+    T.write_raw(T.raw_incidents(spark, small_tables), str(tmp_path / "source"))
+    lake = Lake(str(tmp_path / "lake"))
+    land_raw(spark, str(tmp_path / "source"), lake)
+    silver = batch.build_silver(spark, lake)
+    assert asked == [False]
+    wanted = with_case_columns(T.incident_rows(spark, small_tables)).select(silver.columns)
+    assert silver.exceptAll(wanted).isEmpty() and wanted.exceptAll(silver).isEmpty()
+    tables.write_gold(silver, lake, "gold_x")
+    tables.write_gold(silver, lake, "gold_y", compression="snappy")
+    codecs = [{pq.ParquetFile(file).metadata.row_group(0).column(0).compression for file in Path(lake.gold(name)).glob("part-*")}
+              for name in ("gold_x", "gold_y")]
+    assert codecs == [{"ZSTD"}, {"SNAPPY"}]

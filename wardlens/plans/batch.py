@@ -11,8 +11,8 @@ from wardlens.sources import Lake, land_raw, read_metrics, read_raw, read_silver
 
 
 def build_silver(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Clean bronze into silver."""
-    write_silver(I.clean_incidents(read_raw(spark, lake.bronze)), lake)
+    """Clean bronze into silver; each part of bronze writes its own files."""
+    write_silver(I.clean_incidents(read_raw(spark, lake.bronze)), lake, rebalance=False)
     return read_silver(spark, lake)
 
 

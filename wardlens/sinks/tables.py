@@ -42,15 +42,20 @@ def write_silver(incidents: DataFrame, lake: Lake, rebalance: bool = True) -> No
         return
     with _open_writers(incidents.sparkSession, OPEN_YEARS):
         (incidents.write.mode("overwrite").partitionBy("occurrence_year")
-         .option("parquet.block.size", ROW_GROUP).parquet(lake.silver))
+         .option("parquet.block.size", ROW_GROUP).option("compression", "zstd").parquet(lake.silver))
 
 
 def write_metrics(df: DataFrame, lake: Lake, name: str) -> None:
-    df.write.mode("overwrite").parquet(lake.metrics(name))
+    df.write.mode("overwrite").option("compression", "zstd").parquet(lake.metrics(name))
 
 
 def write_gold(df: DataFrame, lake: Lake, name: str, fmt: str = "parquet", **options: str) -> None:
-    """Replace a gold collection: a folder, or a connector's collection with ``options``."""
+    """Replace a gold collection: a folder, or a connector's collection with ``options``.
+
+    Parquet is compressed by zstd, unless ``options`` name another ``compression``.
+    """
+    if fmt == "parquet":
+        options = {"compression": "zstd"} | options
     writer = with_audit(df).write.format(fmt).mode("overwrite").options(**options)
     if fmt in ("parquet", "orc", "json", "csv"):
         writer.save(lake.gold(name))
