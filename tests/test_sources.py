@@ -103,3 +103,17 @@ def test_reasons_are_kept_beside_a_stream(spark, tmp_path):
     start_rejected(stream, str(tmp_path / "out"), str(tmp_path / "check"), {"availableNow": True}, CALL_DOCUMENT).awaitTermination()
     kept = {r.document: r.reasons for r in spark.read.parquet(f"{tmp_path}/out/stream_rejected").collect()}
     assert kept == {json.dumps(without("status")): ["status is missing"], "oops": ["document is not JSON"]}
+
+
+def test_checks_carry_names_of_types_not_values(spark):
+    texts = [' \n{"a": 1.0, "b": {"c": null}}', "[1]", "  5", "null", '{"a": "1", "b": {"c": 1e2}}', '{"b": []}', "{", None]
+    documents = spark.createDataFrame(list(enumerate(texts)), "k int, value string")
+    schema = {"type": "object", "required": ["a"], "properties": {
+        "a": {"type": "integer", "maximum": 3}, "b": {"type": "object", "properties": {"c": {"type": "number"}}}}}
+    checked = check_documents(documents, schema)
+    found = {row.k: row.reasons for row in checked.collect()}
+    assert found == {0: ["b.c is no number"], 1: ["document is no object"], 2: ["document is no object"], 3: ["document is no object"],
+                     4: ["a is no integer"], 5: ["a is missing", "b is no object"], 6: ["document is not JSON"], 7: ["document is not JSON"]}
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert "_value " not in plan and "RLIKE" not in plan.upper()
+    assert all("variant_get" not in line for line in plan.splitlines() if "Generate" in line)
