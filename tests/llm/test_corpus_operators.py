@@ -116,6 +116,24 @@ def test_shared_words_change_no_ids(spark, corpus, monkeypatch):
     assert [b.num_rows for b in token_files.gathered(iter(batches), "text", 100)] == [2, 2]
 
 
+def test_letters_and_punctuation_are_encoded_apart(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "_WORDS", {})
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), np.random.default_rng(5)
+    ids, _ = token_files.encode_texts(pa.array(["The the the, The, THE! the!"]), path, 2)
+    assert sorted(token_files._known(path, 2).names.to_pylist()) == ["!", ",", "the"]
+    tokenizer = Tokenizer.from_file(path)
+    # Marks that join letters, letters beyond the plain ones, contractions, digits, a special token.
+    letters = list("abcABC\u00e9\u00c9\u00df\u00ff\u00c0''.,!?-<|>\u0327\u0301\u0130\u0131\u017f\u212aK1\u0968\u00aa\u00ba\u00d7\u00f7\u00b5\u03a3 \u200d\ufb01   ")
+    texts = ["".join(rng.choice(letters, 2000)) for _ in range(40)] + [
+        "'S don't x's. rock'n'roll' the<|endoftext|>. abc<| !x x! ! 12, x1. a.b ... \u00ab\u00e9t\u00e9\u00bb", None, ""]
+    ids, sizes = token_files.encode_texts(pa.array(texts), path, 2)
+    expected = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert ids.tolist() == sum(expected, []) and sizes.tolist() == list(map(len, expected))
+
+
 # ---- op 2 ----
 
 def brute_components(rows):

@@ -95,6 +95,19 @@ def slices(batch: pa.RecordBatch, column: str, own: dict | None = None,
         yield batch.slice(start, end - start)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches put together until they hold ``size`` bytes of ``column``."""
+    held, room = [], size
+    for batch in batches:
+        held.append(batch)
+        room -= batch.column(column).nbytes
+        if room <= 0:
+            yield pa.concat_batches(held)
+            held, room = [], size
+    if held:
+        yield pa.concat_batches(held)
+
+
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words between ASCII white space: (code of each word, first word of each text + end, words).
 
