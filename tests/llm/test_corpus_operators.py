@@ -134,6 +134,28 @@ def test_letters_and_punctuation_are_encoded_apart(monkeypatch):
     assert ids.tolist() == sum(expected, []) and sizes.tolist() == list(map(len, expected))
 
 
+def test_shared_words_are_read_without_an_object_each(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import tracemalloc
+
+    monkeypatch.setattr(token_files, "_WORDS", {})
+    known, count = token_files._known(public_tokenizers.path("word_bpe_49k.json"), 2), 50_000
+    table = pa.table({"word": [f"w{k}" for k in range(count)],
+                      "ids": pa.array([np.arange(k % 4, dtype="<u4").tobytes() for k in range(count)], pa.binary())})
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as stream:
+        for batch in table.to_batches(max_chunksize=7000):
+            stream.write_batch(batch)
+    raw = out.getvalue().to_pybytes()
+    tracemalloc.start()
+    known.share("test", raw)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * count
+    assert known.sizes.tolist() == [1] + [k % 4 for k in range(count)]
+    assert known.flat.tolist() == [2] + [i for k in range(count) for i in range(k % 4)]
+
+
 # ---- op 2 ----
 
 def brute_components(rows):

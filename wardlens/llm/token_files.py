@@ -51,7 +51,7 @@ SHARED_WORDS, SHARED_BYTES = 1 << 20, 32
 #: Other words that a Python worker remembers between batches and tasks, at most; then they go.
 CACHE_WORDS = 500_000
 #: Text encoded at once, about.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 6 << 20
 #: Tokenizers that read a word of plain letters and punctuation behind them as these two, letters in lower case.
 LETTERS_APART = ({"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -208,13 +208,16 @@ class _Words:
 
     def share(self, source: str | None, table: bytes) -> None:
         """Begin with the words (word, ids) of an Arrow stream."""
-        names, ids = pa.array([], pa.string()), []
-        if table:
-            found = pa.ipc.open_stream(table).read_all().combine_chunks()
-            names = pa.concat_arrays(found.column("word").chunks) if found.num_rows else names
-            ids = [np.frombuffer(x, "<u4") for x in found.column("ids").to_pylist()]
+        names, ids, sizes = pa.array([], pa.string()), b"", []
+        if table and (found := pa.ipc.open_stream(table).read_all()).num_rows:
+            names = pa.concat_arrays(found.column("word").chunks)
+            coded = pa.concat_arrays(found.column("ids").chunks)
+            # No object for each word: a million of them would be most of a worker's memory.
+            ends = np.frombuffer(coded.buffers()[1], np.int32)[coded.offset:coded.offset + len(coded) + 1]
+            ids, sizes = memoryview(coded.buffers()[2])[ends[0]:ends[-1]], np.diff(ends) // 4
         self.source = source
-        self.base = (names, np.concatenate([np.array([self.end_id], np.uint32), *ids]), np.array([1, *map(len, ids)], np.int32))
+        self.base = (names, np.concatenate([np.array([self.end_id], np.uint32), np.frombuffer(ids, "<u4")]),
+                     np.concatenate([np.ones(1, np.int32), sizes]).astype(np.int32))
         self.forget()
 
     def forget(self) -> None:
@@ -437,6 +440,7 @@ def encode_documents(docs: DataFrame, options: TokenOptions) -> DataFrame:
                 if words is not None and known.source != source:
                     known.share(source, words.value)
                 found, counts = encode_texts(piece.column("text"), options.tokenizer, options.end_id)
+                pa.default_memory_pool().release_unused()  # what Arrow keeps would exceed what is in use
                 before = np.concatenate([[0], np.cumsum(counts)])
                 names, first = piece.column("doc_id").to_pylist(), 0
                 while first < len(counts):
