@@ -182,6 +182,28 @@ def brute_components(rows):
         (doc_id, len(x), min(least[find(i)], default=None)) for i, (doc_id, x) in enumerate(sets))
 
 
+def test_jaccard_sends_on_candidates_only(spark, corpus):
+    docs, options = documents(spark, corpus), jaccard_join.JaccardOptions()
+    sets = jaccard_join.materialize(jaccard_join.document_sets(docs, options), "test-sets")
+    chosen = {r["class"] for r in jaccard_join.candidate_classes(sets, options).collect()}
+    names = {r.doc_id: r["class"] for r in sets.collect()}
+    texts = {}
+    for doc_id, _, component in brute_components(corpus):
+        texts.setdefault(component, set()).add(names[doc_id])
+    # Every class with a link to another class is a candidate; most classes of unlike texts are none.
+    assert all(found <= chosen for found in texts.values() if len(found) > 1)
+    assert len([k for k in range(160) if names[k] in chosen]) < 40
+
+
+def test_jaccard_rows_grow_with_the_input():
+    for shingles in (10**7, 10**9, 10**12):
+        few, many = jaccard_join.bucket_count(shingles), jaccard_join.bucket_count(5 * shingles)
+        assert many ** 2 <= 5.2 * few ** 2  # rows from each bucket to each
+    for buckets in (64, 65, 171, 1000):
+        starts = jaccard_join._bucket_starts(buckets)
+        assert max(np.diff(np.append(starts, np.uint64(1 << jaccard_join.HASH_BITS)))) <= 1 << jaccard_join.LOW_BITS
+
+
 @pytest.mark.parametrize("options", [jaccard_join.JaccardOptions(), jaccard_join.JaccardOptions(rare=2, combine=2, block=8)])
 def test_jaccard_components_equal_brute_force(spark, corpus, options):
     found = jaccard_join.near_duplicates(documents(spark, corpus), options)

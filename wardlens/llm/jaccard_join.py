@@ -2,14 +2,17 @@
 
 Documents with equal shingle sets are one class; links are sought between classes.
 
-1. Shingles are counted over all classes. Those of one class alone can't be shared, so only the
-   others travel on; classes with too few of them to link are dropped.
-2. With shingles in order of frequency, two sets with overlap o share at least s shingles among the
+1. With shingles in order of their hashes, two sets that link share s among the first n - o + s of each,
+   where o is the least overlap. Only these heads, a quarter of all shingles, are compared over all
+   classes; classes that share fewer than s with others link with nothing and are done.
+2. All shingles of the others are counted. Those of one class alone can't be shared, so only the
+   rest travel on; classes with too few of them to link are dropped.
+3. With shingles in order of frequency, two sets with overlap o share at least s shingles among the
    first n - o + s of each. Rare shingles index alone. Frequent ones are dealt into c combination classes
    and index in pairs of one class: among s = c + 1 shared shingles, one is rare or two fall into the
    same class. c depends on a size band; a set indexes for its own band and that of the least
    size it can link with.
-3. Classes that share an index entry, directly or in a chain, form a cluster; every possible link lies in
+4. Classes that share an index entry, directly or in a chain, form a cluster; every possible link lies in
    one. Clusters are verified exactly, in blocks: first all blocks against a pivot block, then only
    what isn't yet connected to the cluster's largest component against all blocks. Jobs return
    spanning edges, never pairs, so a group of n copies costs about n rows.
@@ -30,14 +33,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlens.llm.common import (connected_components, mix64, ship_package, slices, split_words,
+from wardlens.llm.common import (connected_components, gathered, mix64, ship_package, slices, split_words,
                                  window_hashes, word_hashes)
 from wardlens.session import materialize
 
-#: Bits of a shingle's hash; at least LOW_BITS of them are packed, the bucket tells the others.
+#: Bits of a shingle's hash; LOW_BITS of them are packed, the bucket tells the others.
 HASH_BITS, LOW_BITS = 54, 48
-#: Shingles of a bucket, and classes of a bin of small clusters: tasks' groups don't grow with the input.
-BUCKET_SHINGLES, BIN_CLASSES = 1 << 17, 64
+#: A bucket holds so many times the root of the number of shingles. Rows go from each bucket to each, so that
+#: their number grows with the input, not with its square.
+BUCKET_ROOT = 32
+#: Classes of a bin of small clusters: tasks' groups don't grow with the input.
+BIN_CLASSES = 64
+#: Packed shingles dealt to buckets at once, about.
+DEALT_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -45,6 +53,7 @@ class JaccardOptions:
     words: int = 5
     percent: int = 80        # least similarity
     rare: int = 16           # classes that hold a rare shingle, at most
+    head: int = 20           # a set's size over what heads share
     combine: int = 6         # frequent shingles in a combination class, about
     block: int = 256         # classes verified at once against as many
 
@@ -82,80 +91,185 @@ def _set_names(owner: np.ndarray, shingle: np.ndarray, count: int) -> tuple[np.n
     return sizes, mix64(first ^ mix64(second + sizes.astype(np.uint64))).view(np.int64)
 
 
-def _low_bytes(values: np.ndarray) -> bytes:
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BITS // 8].tobytes()
+def _short_bytes(values: np.ndarray, bits: int) -> bytes:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :-(-bits // 8)].tobytes()
 
 
-def _from_low(raw: bytes, high: int) -> np.ndarray:
-    out = np.zeros((len(raw) * 8 // LOW_BITS, 8), np.uint8)
-    out[:, :LOW_BITS // 8] = np.frombuffer(raw, np.uint8).reshape(-1, LOW_BITS // 8)
-    return out.reshape(-1).view("<u8") + np.uint64(high << LOW_BITS)
+def _from_short(raw: bytes | pa.Buffer, bits: int) -> np.ndarray:
+    width = -(-bits // 8)
+    found = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    out = np.zeros((len(found), 8), np.uint8)
+    out[:, :width] = found
+    return out.reshape(-1).view("<u8")
+
+
+def bucket_count(shingles: int) -> int:
+    return max(1 << HASH_BITS - LOW_BITS, int(shingles ** 0.5 / BUCKET_ROOT))
+
+
+def _bucket_starts(buckets: int) -> np.ndarray:
+    """Least hash of each bucket; its hashes less this one have LOW_BITS bits."""
+    return np.array([(b << HASH_BITS) // buckets for b in range(buckets)], np.uint64)
+
+
+def least_overlap(n: np.ndarray | int, options: JaccardOptions):
+    """Shingles that a set of ``n`` shares with any set that it links with, at least."""
+    return -(-options.percent * n // 100)
+
+
+def head_size(n: int, options: JaccardOptions) -> int:
+    return n - least_overlap(n, options) + max(1, n // options.head)
+
+
+def least_shared(n, options: JaccardOptions):
+    """Shingles that the heads of a set of ``n`` and of any set that it links with share, at least.
+
+    The other set holds ``least_overlap(n)`` shingles or more, and heads share what the smaller one's size asks for.
+    """
+    return np.maximum(1, least_overlap(n, options) // options.head)
 
 
 def document_sets(docs: DataFrame, options: JaccardOptions) -> DataFrame:
-    """doc_id, n_shingles and class (fingerprint of the set) of every row."""
+    """doc_id, n_shingles, class (fingerprint of the set) and head of every row.
+
+    The head holds the first shingles of the set, packed; it is null in copies nearby and for empty sets.
+    """
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                sizes, names = _set_names(*shingle_sets(part.column("text"), options.words), part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(names)],
-                                                 names=["doc_id", "n_shingles", "class"])
+                owner, shingle = shingle_sets(part.column("text"), options.words)
+                sizes, names = _set_names(owner, shingle, part.num_rows)
+                ends = np.cumsum(sizes)
+                heads = [None] * part.num_rows
+                for k in _first_copies(sizes, names):
+                    start = ends[k] - sizes[k]
+                    heads[k] = _short_bytes(shingle[start:start + head_size(int(sizes[k]), options)], HASH_BITS)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(sizes.astype(np.int64)), pa.array(names), pa.array(heads, pa.binary())],
+                    names=["doc_id", "n_shingles", "class", "head"])
 
-    return docs.select("doc_id", "text").mapInArrow(name, "doc_id long, n_shingles long, class long")
+    return docs.select("doc_id", "text").mapInArrow(name, "doc_id long, n_shingles long, class long, head binary")
 
 
-def shared_shingles(docs: DataFrame, options: JaccardOptions, bits: int) -> DataFrame:
-    """Classes with enough shared shingles to link: class, n, tokens (sorted), signatures.
+def _first_copies(sizes: np.ndarray, names: np.ndarray) -> list[int]:
+    """Places of the sets that aren't empty, each once."""
+    _, first = np.unique(names, return_index=True)
+    return first[sizes[first] > 0].tolist()
 
-    Both exchanges carry packed arrays: first by the shingles' high bits, to count the classes of
-    each, then by class, for the shingles that several classes hold.
-    """
-    shift = np.uint64(HASH_BITS - bits)
 
-    def by_shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def class_texts(docs: DataFrame, options: JaccardOptions) -> DataFrame:
+    """class and text of the documents; copies nearby go no further."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sizes, names = _set_names(*shingle_sets(part.column("text"), options.words), part.num_rows)
+                kept = _first_copies(sizes, names)
+                yield pa.RecordBatch.from_arrays([pa.array(names[kept]), part.column("text").take(pa.array(kept, pa.int64()))],
+                                                 names=["class", "text"])
+
+    return docs.select("text").mapInArrow(name, "class long, text string")
+
+
+def class_sets(docs: DataFrame, options: JaccardOptions) -> DataFrame:
+    """class, packed shingles and their number n of the documents' sets; copies nearby go no further."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 owner, shingle = shingle_sets(part.column("text"), options.words)
                 sizes, names = _set_names(owner, shingle, part.num_rows)
-                _, kept = np.unique(names, return_index=True)  # copies nearby go no further
-                first = np.zeros(part.num_rows, bool)
-                first[kept] = True
-                first &= sizes > 0
-                live = first[owner]
-                number = (np.cumsum(first) - 1)[owner[live]]
-                shingle, names, sizes = shingle[live], names[first], sizes[first]
-                bucket = (shingle >> shift).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket, number, shingle = bucket[order], number[order], shingle[order]
-                rows = [], [], [], [], []
-                for b, start, end in _runs(bucket):
-                    n = np.bincount(number[start:end], minlength=len(names))
-                    used = n > 0
-                    for column, value in zip(rows, (b, names[used].tobytes(), sizes[used].astype("<u4").tobytes(),
-                                                    n[used].astype("<u4").tobytes(), _low_bytes(shingle[start:end]))):
-                        column.append(value)
-                yield _packed(*rows)
+                ends, kept = np.cumsum(sizes), _first_copies(sizes, names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[kept]), pa.array([_short_bytes(shingle[ends[k] - sizes[k]:ends[k]], HASH_BITS) for k in kept], pa.binary()),
+                     pa.array(sizes[kept].astype(np.int64))], names=["class", "shingles", "n"])
+
+    return docs.select("text").mapInArrow(sets, "class long, shingles binary, n long")
+
+
+def by_bucket(sets: DataFrame, buckets: int) -> DataFrame:
+    """Sets of n shingles (class, shingles, n), or parts of them, taken apart by ranges of the hashes, in packed arrays."""
+    starts = _bucket_starts(buckets)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "shingles", DEALT_BYTES):
+            packed = batch.column("shingles")
+            names, sizes = (batch.column(c).to_numpy() for c in ("class", "n"))
+            number = np.repeat(np.arange(len(names)), pc.binary_length(packed).to_numpy() // -(-HASH_BITS // 8))
+            shingle = _from_short(b"".join(packed.to_pylist()), HASH_BITS)
+            bucket = np.searchsorted(starts, shingle, "right") - 1
+            order = np.argsort(bucket, kind="stable")
+            bucket, number, shingle = bucket[order], number[order], shingle[order]
+            shingle = shingle - starts[bucket]
+            rows = [], [], [], [], []
+            for b, start, end in _runs(bucket):
+                n = np.bincount(number[start:end], minlength=len(names))
+                used = n > 0
+                for column, value in zip(rows, (b, names[used].tobytes(), sizes[used].astype("<u4").tobytes(),
+                                                n[used].astype("<u4").tobytes(), _short_bytes(shingle[start:end], LOW_BITS))):
+                    column.append(value)
+            yield _packed(*rows)
+
+    return sets.mapInArrow(deal, PACKED)
+
+
+def _entries(rows: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, size, shingle) of a bucket's shingles that several classes hold, by shingle and class, each once."""
+    cls, size, shingle = _unpack(rows, int(starts[rows.column("bucket")[0].as_py()]))
+    order = np.argsort(shingle, kind="stable")
+    shingle = shingle[order]
+    several = np.zeros(len(shingle), bool)
+    several[1:] = shingle[1:] == shingle[:-1]
+    several[:-1] |= several[1:]
+    shingle, cls, size = shingle[several], cls[order][several], size[order][several]
+    order = np.lexsort((cls, shingle))
+    shingle, cls, size = shingle[order], cls[order], size[order]
+    new = np.ones(len(shingle), bool)
+    new[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
+    return cls[new], size[new], shingle[new]
+
+
+def _holders(shingle: np.ndarray) -> np.ndarray:
+    """Number of classes that hold the shingle of each entry."""
+    _, place, holders = np.unique(shingle, return_inverse=True, return_counts=True)
+    return holders[place]
+
+
+def candidate_classes(sets: DataFrame, options: JaccardOptions) -> DataFrame:
+    """Classes whose heads share as many shingles with others' heads as a link takes; no other class has one."""
+    heads = sets.filter("head IS NOT NULL")
+    size = heads.agg(F.coalesce(F.sum(F.expr(f"octet_length(head) div {-(-HASH_BITS // 8)}")), F.lit(0))).first()[0]
+    starts = _bucket_starts(bucket_count(size))
+
+    def share(rows: pa.Table) -> pa.Table:
+        cls, size, shingle = _entries(rows, starts)
+        shared = _holders(shingle) > 1
+        names, first, n = np.unique(cls[shared], return_index=True, return_counts=True)
+        need = least_shared(size[shared][first].astype(np.int64), options)
+        return pa.table([pa.array(names), pa.array(n), pa.array(need)], names=["class", "shared", "need"])
+
+    dealt = by_bucket(heads.select("class", F.col("head").alias("shingles"), F.col("n_shingles").alias("n")), len(starts))
+    found = dealt.groupBy("bucket").applyInArrow(share, "class long, shared long, need long")
+    return found.groupBy("class").agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).filter(
+        "shared >= need").select("class")
+
+
+def shared_shingles(sets: DataFrame, shingles: int, options: JaccardOptions) -> DataFrame:
+    """Classes with enough shared shingles to link: class, n, tokens (sorted), signatures.
+
+    Given are ``class_sets`` with ``shingles`` in all. Both exchanges carry packed arrays: first
+    by ranges of the shingles, to count the classes of each, then by class, for the shingles that
+    several classes hold.
+    """
+    starts = _bucket_starts(bucket_count(shingles))
 
     def count(rows: pa.Table) -> pa.Table:
-        high = rows.column("bucket")[0].as_py() >> bits - (HASH_BITS - LOW_BITS)
-        cls, size, shingle = _unpack(rows, high)
-        order = np.argsort(shingle, kind="stable")
-        shingle = shingle[order]
-        several = np.zeros(len(shingle), bool)
-        several[1:] = shingle[1:] == shingle[:-1]
-        several[:-1] |= several[1:]
-        shingle, cls, size = shingle[several], cls[order][several], size[order][several]
-        order = np.lexsort((cls, shingle))
-        shingle, cls, size = shingle[order], cls[order], size[order]
-        new = np.ones(len(shingle), bool)
-        new[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
-        shingle, cls, size = shingle[new], cls[new], size[new]
-        _, place, holders = np.unique(shingle, return_inverse=True, return_counts=True)
-        holders = holders[place]
+        cls, size, shingle = _entries(rows, starts)
+        holders = _holders(shingle)
         shared = holders > 1
         shingle, cls, size, holders = shingle[shared], cls[shared], size[shared], holders[shared]
-        target = (cls.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+        target = ((cls.view(np.uint64) >> np.uint64(32)) * np.uint64(len(starts)) >> np.uint64(32)).astype(np.int64)
         order = np.lexsort((shingle, cls, target))
         shingle, cls, size, holders, target = (x[order] for x in (shingle, cls, size, holders, target))
         out = [], [], [], [], [], []
@@ -184,9 +298,7 @@ def shared_shingles(docs: DataFrame, options: JaccardOptions, bits: int) -> Data
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()),
                          pa.array(out[3], pa.list_(pa.int64()))], names=["class", "n", "tokens", "signatures"])
 
-    packed = "bucket long, names binary, sizes binary, counts binary, shingles binary"
-    counted = docs.select("text").mapInArrow(by_shingle, packed).groupBy("bucket").applyInArrow(
-        count, packed + ", holders binary")
+    counted = by_bucket(sets, len(starts)).groupBy("bucket").applyInArrow(count, PACKED + ", holders binary")
     return counted.groupBy("bucket").applyInArrow(gather, "class long, n long, tokens binary, signatures array<long>")
 
 
@@ -197,19 +309,22 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(values[start]), start, end
 
 
+PACKED = "bucket long, names binary, sizes binary, counts binary, shingles binary"
+
+
 def _packed(bucket: list, names: list, sizes: list, counts: list, shingles: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), *(pa.array(c, pa.binary()) for c in (names, sizes, counts, shingles))],
                                       names=["bucket", "names", "sizes", "counts", "shingles"])
 
 
-def _unpack(rows: pa.Table, high: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(class, size, shingle) of all entries; shingles are whole if ``high`` is None."""
+def _unpack(rows: pa.Table, least: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, size, shingle) of all entries; shingles are whole if ``least`` is None, else less this."""
     cls, size, shingle = [], [], []
     for names, sizes, counts, raw in zip(*(rows.column(c).to_pylist() for c in ("names", "sizes", "counts", "shingles"))):
         n = np.frombuffer(counts, "<u4")
         cls.append(np.repeat(np.frombuffer(names, "<i8"), n))
         size.append(np.repeat(np.frombuffer(sizes, "<u4"), n))
-        shingle.append(np.frombuffer(raw, "<u8") if high is None else _from_low(raw, high))
+        shingle.append(np.frombuffer(raw, "<u8") if least is None else _from_short(raw, LOW_BITS) + np.uint64(least))
     return np.concatenate(cls), np.concatenate(size), np.concatenate(shingle)
 
 
@@ -217,7 +332,7 @@ def prefix_signatures(tokens: np.ndarray, holders: np.ndarray, n: int, options:
     """Index entries of a set of ``n`` shingles, of which ``tokens`` are shared by ``holders`` sets."""
     order = np.lexsort((tokens, holders))
     tokens, holders = tokens[order], holders[order]
-    overlap = -(-options.percent * n // 100)
+    overlap = least_overlap(n, options)
     alone = n - len(tokens)  # unshared shingles stand first
     out = []
     for band in {int(n).bit_length(), int(overlap).bit_length()}:
@@ -345,10 +460,13 @@ def _second_jobs(members: DataFrame, options: JaccardOptions) -> DataFrame:
     return as_right.unionByName(as_left).withColumn("bin", F.col("job"))
 
 
-def link_classes(docs: DataFrame, shingles: int, options: JaccardOptions) -> DataFrame:
-    """(class, component) of the classes that link with others; the documents hold ``shingles`` in all."""
-    bits = max(HASH_BITS - LOW_BITS, (shingles // BUCKET_SHINGLES).bit_length())
-    sets = materialize(shared_shingles(docs, options, bits), "jaccard-sets")
+def link_classes(docs: DataFrame, named: DataFrame, options: JaccardOptions) -> DataFrame:
+    """(class, component) of the classes that link with others, given the documents and their ``document_sets``."""
+    chosen = materialize(candidate_classes(named, options), "jaccard-candidates")
+    sizes = named.select("class", "n_shingles").join(chosen, "class", "left_semi").distinct()
+    shingles = sizes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    texts = class_texts(docs, options).join(chosen, "class", "left_semi")
+    sets = materialize(shared_shingles(class_sets(texts, options), shingles, options), "jaccard-sets")
     index = materialize(sets.select("class", F.explode("signatures").alias("signature")), "jaccard-index")
     groups = index.groupBy("signature").agg(F.min("class").alias("center"), F.count("*").alias("n")).filter("n > 1")
     star = index.join(groups, "signature").filter("class <> center").select(F.col("class").alias("a"), F.col("center").alias("b"))
@@ -371,8 +489,7 @@ def near_duplicates(docs: DataFrame, options: JaccardOptions = JaccardOptions())
     """doc_id, n_shingles and component_id of every document."""
     ship_package(docs.sparkSession)
     sets = materialize(document_sets(docs, options), "jaccard-documents")
-    shingles = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    linked = link_classes(docs, shingles, options)
+    linked = link_classes(docs, sets, options)
     least = sets.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     named = materialize(least.join(linked, "class", "left").withColumn("component", F.coalesce("component", "class")), "jaccard-classes")
     best = named.groupBy("component").agg(F.min("least").alias("component_id"))
