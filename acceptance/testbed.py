@@ -21,6 +21,7 @@ from wardlens.plans.batch import build_metrics
 from wardlens.session import scratch_dir
 from wardlens.sinks import write_gold, write_metrics, write_silver
 from wardlens.sources import Lake, load_area_stats, read_metrics, read_silver
+from wardlens.sources.lake import RAW_TEXT
 
 # Orders with the area and date of their incidents, step by step.
 AREA = "CASE WHEN c_nationkey % 3 <> 0 AND o_orderkey % 5 = 0 THEN c_nationkey - c_nationkey % 3 ELSE c_nationkey END"
@@ -154,7 +155,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_raw(rows: DataFrame, folder: str) -> None:
     """Add ``rows`` to a folder of compressed CSV files with headers, texts as they are."""
-    (rows.write.mode("append").option("compression", "gzip").option("header", True).option("ignoreLeadingWhiteSpace", False)
+    (rows.write.mode("append").options(**RAW_TEXT).option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(folder))
 
 

@@ -12,6 +12,8 @@ from wardlens.sources.lake import Lake
 
 #: Years whose files a task of an unshuffled write holds open, and bytes that each of them buffers at most.
 OPEN_YEARS, ROW_GROUP = 32, 16 * 1024 * 1024
+#: Parquet of the batch run. Ids hardly repeat, so that a dictionary of them is built in vain.
+PARQUET = {"compression": "zstd", "parquet.enable.dictionary#id": "false"}
 
 
 def with_audit(df: DataFrame) -> DataFrame:
@@ -42,11 +44,11 @@ def write_silver(incidents: DataFrame, lake: Lake, rebalance: bool = True) -> No
         return
     with _open_writers(incidents.sparkSession, OPEN_YEARS):
         (incidents.write.mode("overwrite").partitionBy("occurrence_year")
-         .option("parquet.block.size", ROW_GROUP).option("compression", "zstd").parquet(lake.silver))
+         .option("parquet.block.size", ROW_GROUP).options(**PARQUET).parquet(lake.silver))
 
 
 def write_metrics(df: DataFrame, lake: Lake, name: str) -> None:
-    df.write.mode("overwrite").option("compression", "zstd").parquet(lake.metrics(name))
+    df.write.mode("overwrite").options(**PARQUET).parquet(lake.metrics(name))
 
 
 def write_gold(df: DataFrame, lake: Lake, name: str, fmt: str = "parquet", **options: str) -> None:
@@ -55,7 +57,7 @@ def write_gold(df: DataFrame, lake: Lake, name: str, fmt: str = "parquet", **opt
     Parquet is compressed by zstd, unless ``options`` name another ``compression``.
     """
     if fmt == "parquet":
-        options = {"compression": "zstd"} | options
+        options = PARQUET | options
     writer = with_audit(df).write.format(fmt).mode("overwrite").options(**options)
     if fmt in ("parquet", "orc", "json", "csv"):
         writer.save(lake.gold(name))
